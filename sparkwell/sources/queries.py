@@ -257,12 +257,11 @@ def src_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each order priority, how long the bar of each month is, from 0 to 7."""
     months = [str(m) for m in range(1, 13)]
-    counted = (
-        table(spark, sf_dir, "orders")
-        .groupBy(F.substring("o_orderpriority", 1, 1).cast("int").alias("label"))
-        .pivot(F.month("o_orderdate").cast("string"), months)
-        .agg(F.count("*"))
+    dated = table(spark, sf_dir, "orders").select(
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("label"),
+        F.month("o_orderdate").cast("string").alias("month"),
     )
+    counted = dated.groupBy("label").pivot("month", months).agg(F.count("month"))
     filled = counted.na.fill(0)
     most = F.greatest(*[F.col(m) for m in months])
     return filled.select("label", *[F.floor(F.col(m) * 7 / most).cast("int").alias(m) for m in months])

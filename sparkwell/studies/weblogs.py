@@ -51,7 +51,7 @@ def host_and_date(lines: DataFrame) -> DataFrame:
 
 def frequency(requests: DataFrame, field: Column, name: str, total: str, top: int | None = None) -> DataFrame:
     """How often each value occurs, most frequent first; equal counts are ordered by value."""
-    counted = requests.groupBy(field.alias(name)).agg(F.count(name).alias(total)).orderBy(F.desc(total), name)
+    counted = requests.groupBy(field.alias(name)).agg(F.count(field).alias(total)).orderBy(F.desc(total), name)
     return counted if top is None else counted.limit(top)
 
 
