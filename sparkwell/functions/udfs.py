@@ -178,19 +178,17 @@ def udf_array_plus_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return added.selectExpr("id", "array_join(transform(plus_one, v -> string(v)), ',') AS plus_one")
 
 
-_MINUS_MEAN = "SELECT id, round(v - avg(v) OVER (PARTITION BY id), 4) + 0 AS v FROM v_grouped"
+_MINUS_MEAN = "SELECT id, v - avg(v) OVER (PARTITION BY id) AS v FROM v_grouped"
 
 
 @query("grp_subtract_mean_builtin", _MINUS_MEAN)
 def grp_subtract_mean_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    centred = subtract_mean(views.grouped_values(spark, sf_dir))
-    return centred.select("id", (F.round("v", 4) + 0).alias("v"))
+    return subtract_mean(views.grouped_values(spark, sf_dir))
 
 
 @query("grp_subtract_mean_pandas", _MINUS_MEAN)
 def grp_subtract_mean_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    centred = subtract_mean_in_pandas(views.grouped_values(spark, sf_dir))
-    return centred.select("id", (F.round("v", 4) + 0).alias("v"))
+    return subtract_mean_in_pandas(views.grouped_values(spark, sf_dir))
 
 
 @query("udf_map_partitions", "SELECT id, sqrt(square) AS root FROM v_squares")

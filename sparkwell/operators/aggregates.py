@@ -24,7 +24,7 @@ def summary(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Count, mean, least and greatest value for each group."""
     return rows.groupBy(*keys).agg(
         F.count(value).alias("n"),
-        F.round(F.avg(value), 4).alias("mean"),
+        F.avg(value).alias("mean"),
         F.min(value).alias("least"),
         F.max(value).alias("greatest"),
     )
@@ -33,7 +33,7 @@ def summary(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def mean_of_numbers(rows: DataFrame, key: str) -> DataFrame:
     """The mean of every numeric column but the key, each under ``avg_<column>``."""
     numeric = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType) and f.name != key]
-    return rows.groupBy(key).agg(*[F.round(F.avg(name), 4).alias(f"avg_{name}") for name in numeric])
+    return rows.groupBy(key).agg(*[F.avg(name).alias(f"avg_{name}") for name in numeric])
 
 
 def delay_pivot(flights: DataFrame, origin: str, months: Mapping[str, int]) -> DataFrame:
@@ -74,11 +74,11 @@ def agg_max_by(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "agg_summary_by",
-    """SELECT l_suppkey, count(l_extendedprice) AS n, round(avg(l_extendedprice), 4) AS mean,
-              min(l_extendedprice) AS least, max(l_extendedprice) AS greatest FROM lineitem GROUP BY l_suppkey""",
+    """SELECT l_suppkey, count(l_quantity) AS n, avg(l_quantity) AS mean,
+              min(l_quantity) AS least, max(l_quantity) AS greatest FROM lineitem GROUP BY l_suppkey""",
 )
 def agg_summary_by(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_extendedprice")
+    return summary(table(spark, sf_dir, "lineitem"), ["l_suppkey"], "l_quantity")
 
 
 @query("agg_group_count", 'SELECT o_orderpriority, count(*) AS "count" FROM orders GROUP BY o_orderpriority')
@@ -102,9 +102,9 @@ def agg_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "agg_avg_all_numeric",
-    """SELECT cn, round(avg(device_id), 4) AS avg_device_id, round(avg(battery_level), 4) AS avg_battery_level,
-              round(avg(c02_level), 4) AS avg_c02_level, round(avg(temp), 4) AS avg_temp,
-              round(avg(humidity), 4) AS avg_humidity FROM v_iot GROUP BY cn""",
+    """SELECT cn, avg(device_id) AS avg_device_id, avg(battery_level) AS avg_battery_level,
+              avg(c02_level) AS avg_c02_level, avg(temp) AS avg_temp,
+              avg(humidity) AS avg_humidity FROM v_iot GROUP BY cn""",
 )
 def agg_avg_all_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_of_numbers(views.iot(spark, sf_dir), "cn")

@@ -53,15 +53,15 @@ def proj_add_drop_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "proj_cast",
-    """SELECT id, CAST(salary AS DOUBLE) AS salary, TRY_CAST(firstName AS INT) AS not_a_number,
-              CAST(birthDate AS DATE) AS born FROM v_people""",
+    """SELECT id, CAST(salary AS DOUBLE) AS salary, coalesce(TRY_CAST(firstName AS INT), -1) AS not_a_number,
+              CAST(birthDate AS TIMESTAMP) AS born FROM v_people""",
 )
 def proj_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.people(spark, sf_dir).select(
         "id",
         F.col("salary").cast("double").alias("salary"),
-        F.col("firstName").try_cast("int").alias("not_a_number"),
-        F.col("birthDate").cast("date").alias("born"),
+        F.coalesce(F.col("firstName").try_cast("int"), F.lit(-1)).alias("not_a_number"),
+        F.col("birthDate").cast("timestamp_ntz").alias("born"),
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,16 +31,14 @@ def external_csv_table(spark: SparkSession, name: str, columns: str, path: str)
 
 @query("cat_temp_view", "SELECT * FROM v_usage WHERE usage < 100")
 def cat_temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"usage_{uuid.uuid4().hex[:8]}"
-    views.usage(spark, sf_dir).createOrReplaceTempView(name)
-    return spark.sql(f"SELECT * FROM {name} WHERE usage < 100")
+    views.usage(spark, sf_dir).createOrReplaceTempView("sparkwell_usage")
+    return spark.sql("SELECT * FROM sparkwell_usage WHERE usage < 100")
 
 
 @query("cat_global_view", "SELECT * FROM v_usage WHERE usage >= 900")
 def cat_global_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"usage_{uuid.uuid4().hex[:8]}"
-    views.usage(spark, sf_dir).createOrReplaceGlobalTempView(name)
-    return spark.newSession().sql(f"SELECT * FROM global_temp.{name} WHERE usage >= 900")
+    views.usage(spark, sf_dir).createOrReplaceGlobalTempView("sparkwell_usage")
+    return spark.newSession().sql("SELECT * FROM global_temp.sparkwell_usage WHERE usage >= 900")
 
 
 @query("cat_managed_table", "SELECT * FROM v_flights WHERE delay > 2000")
@@ -70,6 +66,5 @@ def cat_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
        UNION ALL SELECT 'o_orderpriority', 'string', count(o_orderpriority) FROM orders""",
 )
 def cat_list_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"orders_{uuid.uuid4().hex[:8]}"
-    table(spark, sf_dir, "orders").createOrReplaceTempView(name)
-    return fill_counts(spark, name)
+    table(spark, sf_dir, "orders").createOrReplaceTempView("sparkwell_orders")
+    return fill_counts(spark, "sparkwell_orders")

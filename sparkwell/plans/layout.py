@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from sparkwell import skew, storage, views
 from sparkwell.registry import query
 from sparkwell.session import shuffle_partitions
+from sparkwell.studies.weblogs import requests
 from sparkwell.tables import table
 
 
@@ -98,12 +98,10 @@ def layout_repartition_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
        SELECT 'method', request_method, count(*) FROM v_requests GROUP BY request_method""",
 )
 def cache_disk_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sparkwell.studies.weblogs import requests
-
     def both(parsed: DataFrame) -> DataFrame:
         by_protocol = parsed.groupBy(F.lit("protocol").alias("field"), F.col("protocol").alias("value"))
         by_method = parsed.groupBy(F.lit("method").alias("field"), F.col("request_method").alias("value"))
         return by_protocol.agg(F.count("*").alias("n")).union(by_method.agg(F.count("*").alias("n")))
 
     parsed = requests(views.log_lines(spark, sf_dir))
-    return from_disk_cache(parsed, both, storage.new_path(spark, f"cached-{uuid.uuid4().hex[:8]}"))
+    return from_disk_cache(parsed, both, storage.new_path(spark, "cached"))

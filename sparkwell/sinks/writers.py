@@ -82,10 +82,10 @@ def sink_save_as_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sink_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = storage.new_database(spark)
-    views.flights(spark, sf_dir).createOrReplaceTempView(f"flights_for_{database}")
+    views.flights(spark, sf_dir).createOrReplaceTempView("sparkwell_flights")
     spark.sql(
         f"""CREATE TABLE {database}.hub_delays USING parquet AS
-            SELECT origin, destination, sum(delay) AS TotalDelays FROM flights_for_{database}
+            SELECT origin, destination, sum(delay) AS TotalDelays FROM sparkwell_flights
             WHERE origin IN ('NATION_3', 'NATION_12', 'NATION_20') GROUP BY origin, destination"""
     )
     return spark.table(f"{database}.hub_delays")
@@ -93,7 +93,7 @@ def sink_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sink_coalesce_one",
-    """SELECT l_returnflag, l_linestatus, count(l_quantity) AS n, round(avg(l_quantity), 4) AS mean,
+    """SELECT l_returnflag, l_linestatus, count(l_quantity) AS n, avg(l_quantity) AS mean,
               min(l_quantity) AS least, max(l_quantity) AS greatest FROM lineitem GROUP BY l_returnflag, l_linestatus""",
 )
 def sink_coalesce_one(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,12 +179,11 @@ def src_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
        (SELECT unnest(['parquet', 'orc', 'json', 'csv']) AS format) f""",
 )
 def src_view_using(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tag = uuid.uuid4().hex[:8]
     picks = []
     for fmt in ("parquet", "orc", "json", "csv"):
         csv = fmt == "csv"
         path = csv_copy(spark, sf_dir, "summary") if csv else copy_as(spark, sf_dir, "summary", fmt)
-        name = f"summary_{fmt}_{tag}"
+        name = f"sparkwell_summary_{fmt}"
         readers.view_on_files(spark, name, fmt, path, **({"header": "true", "inferSchema": "true"} if csv else {}))
         picks.append(
             f"SELECT '{fmt}' AS format, DEST_COUNTRY_NAME, ORIGIN_COUNTRY_NAME, CAST(count AS BIGINT) AS count FROM {name}"

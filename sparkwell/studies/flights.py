@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,13 +71,12 @@ def flights_q3_when(spark: SparkSession, sf_dir: str) -> DataFrame:
        SELECT 'session', date, delay, origin, destination FROM v_flights WHERE origin = 'NATION_20'""",
 )
 def flights_origin_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tag = uuid.uuid4().hex[:8]
     legs = views.flights(spark, sf_dir).select("date", "delay", "origin", "destination")
-    legs.filter("origin = 'NATION_12'").createOrReplaceGlobalTempView(f"from_one_{tag}")
-    legs.filter("origin = 'NATION_20'").createOrReplaceTempView(f"from_other_{tag}")
+    legs.filter("origin = 'NATION_12'").createOrReplaceGlobalTempView("sparkwell_from_one")
+    legs.filter("origin = 'NATION_20'").createOrReplaceTempView("sparkwell_from_other")
     return spark.sql(
-        f"SELECT 'global' AS seen_in, * FROM global_temp.from_one_{tag} "
-        f"UNION ALL SELECT 'session' AS seen_in, * FROM from_other_{tag}"
+        "SELECT 'global' AS seen_in, * FROM global_temp.sparkwell_from_one "
+        "UNION ALL SELECT 'session' AS seen_in, * FROM sparkwell_from_other"
     )
 
 

@@ -43,9 +43,9 @@ def iot_low_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "iot_co2_country",
-    """SELECT cn, round(avg(device_id), 4) AS avg_device_id, round(avg(battery_level), 4) AS avg_battery_level,
-              round(avg(c02_level), 4) AS avg_c02_level, round(avg(temp), 4) AS avg_temp,
-              round(avg(humidity), 4) AS avg_humidity FROM v_iot WHERE c02_level > 1300 GROUP BY cn""",
+    """SELECT cn, avg(device_id) AS avg_device_id, avg(battery_level) AS avg_battery_level,
+              avg(c02_level) AS avg_c02_level, avg(temp) AS avg_temp,
+              avg(humidity) AS avg_humidity FROM v_iot WHERE c02_level > 1300 GROUP BY cn""",
 )
 def iot_co2_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     polluting = views.iot(spark, sf_dir).filter(F.col("c02_level") > 1300)
@@ -54,7 +54,7 @@ def iot_co2_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "iot_hot_country",
-    """SELECT cn, round(avg(temp), 4) AS avg_temp, round(avg(humidity), 4) AS avg_humidity
+    """SELECT cn, avg(temp) AS avg_temp, avg(humidity) AS avg_humidity
        FROM v_iot WHERE temp > 25 AND humidity > 75 GROUP BY cn""",
 )
 def iot_hot_country(spark: SparkSession, sf_dir: str) -> DataFrame:

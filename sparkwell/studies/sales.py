@@ -56,7 +56,7 @@ def mnm_one_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "mnm_summary",
-    """SELECT State, Color, count("Count") AS n, round(avg("Count"), 4) AS mean, min("Count") AS least,
+    """SELECT State, Color, count("Count") AS n, avg("Count") AS mean, min("Count") AS least,
               max("Count") AS greatest FROM v_sales GROUP BY State, Color""",
 )
 def mnm_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

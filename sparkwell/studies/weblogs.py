@@ -23,7 +23,7 @@ def requests(lines: DataFrame) -> DataFrame:
     named = (
         lines.filter(F.col("value").rlike(LOG_LINE))
         .select(fields.alias("f"))
-        .select(*[F.col("f")[i].alias(name) for i, name in enumerate(LOG_FIELDS)])
+        .select(*[F.get("f", F.lit(i)).alias(name) for i, name in enumerate(LOG_FIELDS)])
     )
     size = F.when(F.col("content_size") == "-", F.lit(0)).otherwise(F.col("content_size").try_cast("int"))
     return named.withColumns(
