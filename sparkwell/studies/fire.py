@@ -132,5 +132,5 @@ def fire_week_2018(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT Neighborhood, Delay AS DelayMinutes FROM v_calls WHERE year(strptime(CallDate, '%m/%d/%Y')) = 1998""",
 )
 def fire_worst_2018(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slowest = in_year(views.calls(spark, sf_dir), 1998).select("Neighborhood", "DelayMinutes")
-    return slowest.orderBy(F.desc("DelayMinutes"), "Neighborhood")
+    slowest = in_year(views.calls(spark, sf_dir), 1998).orderBy(F.desc("DelayMinutes"), "CallNumber")
+    return slowest.select("Neighborhood", "DelayMinutes")

@@ -38,7 +38,7 @@ def iot_temp_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("iot_low_battery", "SELECT battery_level, c02_level, device_name FROM v_iot WHERE battery_level < 8")
 def iot_low_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     low = views.iot(spark, sf_dir).filter(F.col("battery_level") < 8)
-    return low.select("battery_level", "c02_level", "device_name").orderBy("c02_level", "device_name", "battery_level")
+    return low.orderBy("c02_level", "device_id").select("battery_level", "c02_level", "device_name")
 
 
 @query(

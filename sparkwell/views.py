@@ -79,8 +79,16 @@ def iot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LEG = ("l_orderkey", "l_linenumber", "l_partkey")
+
+
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flight legs: departure text ``MMddHHmm``, delay, distance and both ends."""
+    return flight_legs(spark, sf_dir).drop(*LEG)
+
+
+def flight_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights with the columns that tell two legs apart, for sorting."""
     origin = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin")
     )
@@ -103,6 +111,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.floor(F.col("l_extendedprice") / 10).cast("int").alias("distance"),
             "origin",
             "destination",
+            *LEG,
         )
     )
 
