@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from sparkwell import views
 from sparkwell.functions.dates import readable_stamp
 from sparkwell.registry import query
-from sparkwell.skew import attach_per_key, hot_keys, is_hot
+from sparkwell.skew import attach_per_key, hot_keys, is_hot, not_hot
 from sparkwell.tables import table
 
 # Executors need not have this package: its functions travel with the job.
@@ -86,7 +86,7 @@ def roots_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
 def subtract_mean(rows: DataFrame, share: float | None = None) -> DataFrame:
     """``v`` minus the mean of its ``id``: means combine before the shuffle, then meet the rows."""
     means = rows.groupBy("id").agg(F.avg("v").alias("mean"))
-    return attach_per_key(rows, means, "id", share).select("id", (F.col("v") - F.col("mean")).alias("v"))
+    return attach_per_key(rows, means, "id", share, null_is_key=True).select("id", (F.col("v") - F.col("mean")).alias("v"))
 
 
 def _minus_own_mean(group: pd.DataFrame) -> pd.DataFrame:
@@ -105,12 +105,13 @@ def subtract_mean_in_pandas(rows: DataFrame, share: float | None = None, max_row
     split, and its mean comes from an ordinary aggregate.
     """
     hot = hot_keys(rows, "id", share, max_rows)
-    whole = rows.filter(~is_hot("id", hot)).groupBy("id").applyInPandas(_minus_own_mean, "id long, v double")
+    whole = rows.filter(not_hot("id", hot)).groupBy("id").applyInPandas(_minus_own_mean, "id long, v double")
     if not hot:
         return whole
     of_hot = rows.filter(is_hot("id", hot)).withColumn("piece", F.spark_partition_id())
-    means = of_hot.groupBy("id").agg(F.avg("v").alias("mean"))
-    pieces = of_hot.join(F.broadcast(means), "id").groupBy("id", "piece")
+    means = of_hot.groupBy(F.col("id").alias("id_of_group")).agg(F.avg("v").alias("mean"))
+    same = F.col("id").eqNullSafe(F.col("id_of_group"))
+    pieces = of_hot.join(F.broadcast(means), same).groupBy("id", "piece")
     return whole.unionByName(pieces.applyInPandas(_minus_given_mean, "id long, v double"))
 
 

@@ -29,7 +29,7 @@ def latest(history: DataFrame, key: str, value: str, name: str) -> DataFrame:
 
 def with_latest(history: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Every record beside the last value of its key: last() over the whole group."""
-    return attach_per_key(history, latest(history, key, value, name), key)
+    return attach_per_key(history, latest(history, key, value, name), key, null_is_key=True)
 
 
 @query(

@@ -21,14 +21,14 @@ def fair_share(rows: DataFrame) -> float:
 
 
 def hot_keys(rows: DataFrame, key: str, share: float | None = None, max_rows: int | None = None) -> list:
-    """Keys with more than ``share`` of all rows, or with more than ``max_rows`` rows.
+    """Keys with more than ``share`` of all rows, or with more than ``max_rows`` rows; null counts as a key.
 
     At most ``1 / share`` plus ``total / max_rows`` keys can qualify, so the list is small
     enough to be a literal in a filter. Counting reads one column and combines before the
     shuffle.
     """
     limit = share if share is not None else fair_share(rows)
-    per_key = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows_of_key"))
+    per_key = rows.groupBy(key).agg(F.count("*").alias("rows_of_key"))
     total = per_key.agg(F.sum("rows_of_key").alias("rows_in_all"))
     too_many = F.lit(limit) * F.col("rows_in_all")
     if max_rows is not None:
@@ -38,24 +38,41 @@ def hot_keys(rows: DataFrame, key: str, share: float | None = None, max_rows: in
 
 
 def is_hot(key: str, hot: Sequence) -> Column:
-    return F.col(key).isin(list(hot)) if hot else F.lit(False)
+    known = [value for value in hot if value is not None]
+    among = F.col(key).isin(known) if known else F.lit(False)
+    return among | F.col(key).isNull() if None in hot else among
+
+
+def not_hot(key: str, hot: Sequence) -> Column:
+    known = [value for value in hot if value is not None]
+    other = ~F.col(key).isin(known) if known else F.col(key).isNotNull()
+    return other if None in hot else other | F.col(key).isNull()
 
 
 def attach_per_key(
-    rows: DataFrame, per_key: DataFrame, key: str, share: float | None = None, hot: Sequence | None = None
+    rows: DataFrame, per_key: DataFrame, key: str, share: float | None = None, null_is_key: bool = False
 ) -> DataFrame:
     """``rows`` inner-joined to ``per_key``, which has one row for each key.
 
     Rows of hot keys meet a broadcast of at most ``1 / share`` rows and are never
-    shuffled; the others take the ordinary join.
+    shuffled; the others take the ordinary join. Rows without a key are dropped, as in any
+    inner join, unless null is a key like the others, as it is in a grouping.
     """
-    if hot is None:
-        hot = hot_keys(rows, key, share)
+    if null_is_key:
+        other = f"{key}_of_group"
+        per_key = per_key.withColumnRenamed(key, other)
+
+    def joined(some: DataFrame, matching: DataFrame) -> DataFrame:
+        if not null_is_key:
+            return some.join(matching, key)
+        return some.join(matching, F.col(key).eqNullSafe(F.col(other))).drop(other)
+
+    hot = hot_keys(rows, key, share)
     if not hot:
-        return rows.join(per_key, key)
-    few = F.broadcast(per_key.filter(is_hot(key, hot)))
-    of_hot = rows.filter(is_hot(key, hot)).join(few, key)
-    of_rest = rows.filter(~is_hot(key, hot)).join(per_key.filter(~is_hot(key, hot)), key)
+        return joined(rows, per_key)
+    name = other if null_is_key else key
+    of_hot = joined(rows.filter(is_hot(key, hot)), F.broadcast(per_key.filter(is_hot(name, hot))))
+    of_rest = joined(rows.filter(not_hot(key, hot)), per_key.filter(not_hot(name, hot)))
     return of_hot.unionByName(of_rest)
 
 

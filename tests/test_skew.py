@@ -42,6 +42,24 @@ def test_without_hot_keys_the_join_is_plain(lopsided, no_broadcast):
     assert "Union" not in plan and plan.count("SortMergeJoin") == 1
 
 
+@pytest.mark.parametrize("share", [0.9, 0.1, 0.0])
+def test_rows_without_a_key_are_a_group_of_their_own(lopsided, share):
+    some_null = lopsided.select(F.when(F.col("id") != 7, F.col("id")).alias("id"), "v")
+    mean = some_null.filter("id IS NULL").agg(F.avg("v")).first()[0]
+    for way in (subtract_mean, subtract_mean_in_pandas):
+        found = way(some_null, share)
+        assert found.count() == N, way.__name__
+        lost = found.filter("id IS NULL")
+        assert lost.count() == N // 3 and abs(lost.agg(F.max("v")).first()[0] - (10 - mean)) < 1e-9
+
+
+def test_an_inner_join_drops_rows_without_a_key(lopsided):
+    some_null = lopsided.select(F.when(F.col("id") != 7, F.col("id")).alias("id"), "v")
+    per_key = some_null.groupBy("id").agg(F.count("*").alias("n"))
+    for share in (0.9, 0.1):
+        assert skew.attach_per_key(some_null, per_key, "id", share).count() == N - N // 3
+
+
 @pytest.mark.parametrize("share", [0.9, 0.1, 0.0])
 def test_subtract_mean_is_the_same_however_groups_are_cut(lopsided, share):
     pdf = lopsided.toPandas()
