@@ -17,7 +17,7 @@ LOG_FIELDS = [
     "http_status",
     "content_size",
 ]
-LOG_STAMP = "dd/MMM/yyyy:HH:mm:ss"
+LOG_MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 LOG_HOST = r"^(\S+\.\S\S+)\s"
 LOG_DATE = r"(\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2})"
 NO_MATCH = "no match"

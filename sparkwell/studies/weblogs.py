@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwell import views
-from sparkwell.functions.dates import parse_local
-from sparkwell.functions.patterns import LOG_DATE, LOG_FIELDS, LOG_HOST, LOG_LINE, LOG_STAMP, NO_MATCH
+from sparkwell.functions.dates import parse_log_stamp
+from sparkwell.functions.patterns import LOG_DATE, LOG_FIELDS, LOG_HOST, LOG_LINE, NO_MATCH
 from sparkwell.registry import query
 
 
@@ -28,7 +28,7 @@ def requests(lines: DataFrame) -> DataFrame:
     size = F.when(F.col("content_size") == "-", F.lit(0)).otherwise(F.col("content_size").try_cast("int"))
     return named.withColumns(
         {
-            "datetime": parse_local(F.col("datetime"), LOG_STAMP),
+            "datetime": parse_log_stamp(F.col("datetime")),
             "http_status": F.col("http_status").cast("int"),
             "content_size": size,
         }
@@ -43,7 +43,7 @@ def first_match(text: Column, pattern: str) -> Column:
 def host_and_date(lines: DataFrame) -> DataFrame:
     """The host and the time of each line, looked for separately."""
     stamp = first_match(F.col("value"), LOG_DATE)
-    moment = F.date_format(F.try_to_timestamp(stamp, F.lit(LOG_STAMP)), "dd/MM/yyyy HH:mm:ss")
+    moment = F.date_format(parse_log_stamp(stamp), "dd/MM/yyyy HH:mm:ss")
     return lines.select(
         first_match(F.col("value"), LOG_HOST).alias("host"), F.coalesce(moment, F.lit(NO_MATCH)).alias("date")
     )
