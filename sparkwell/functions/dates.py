@@ -6,26 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwell import views
-from sparkwell.functions.patterns import CALL_DAY, CALL_MOMENT, LOG_MONTHS
+from sparkwell.functions.clock import parse_day, parse_moment
+from sparkwell.functions.patterns import CALL_DAY, CALL_MOMENT
 from sparkwell.registry import query
 
 
-def parse_local(text: Column, pattern: str) -> Column:
-    """Text to a timestamp without zone; null where the text does not fit the pattern."""
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
-
-
-def parse_log_stamp(text: Column) -> Column:
-    """``dd/MMM/yyyy:HH:mm:ss`` to a timestamp without zone; null for a date that does not exist.
-
-    The text is put into ISO order and cast, which costs far less than a pattern for each row
-    and does not depend on the session time zone.
-    """
-    month = F.array_position(F.array(*[F.lit(m) for m in LOG_MONTHS]), F.substring(text, 4, 3))
-    day = F.concat_ws("-", F.substring(text, 8, 4), F.lpad(month.cast("string"), 2, "0"), F.substring(text, 1, 2))
-    return F.concat_ws(" ", day, F.substring(text, 13, 8)).try_cast("timestamp_ntz")
-
-
 def readable_stamp(text: Column) -> Column:
     """``MMddHHmm`` as ``MM/dd HH:mm``."""
     parts = [F.substring(text, start, 2) for start in (1, 3, 5, 7)]
@@ -51,6 +36,6 @@ def str_reformat_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_parse_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.calls(spark, sf_dir).select(
         "CallNumber",
-        parse_local(F.col("CallDate"), CALL_DAY).alias("called"),
-        parse_local(F.col("AvailableDtTm"), CALL_MOMENT).alias("available"),
+        parse_day(F.col("CallDate"), CALL_DAY).alias("called"),
+        parse_moment(F.col("AvailableDtTm"), CALL_MOMENT).alias("available"),
     )

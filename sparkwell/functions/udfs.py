@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkwell import views
-from sparkwell.functions.dates import readable_stamp
+from sparkwell.functions.clock import compact_text
 from sparkwell.registry import query
 from sparkwell.skew import attach_per_key, hot_keys, is_hot, not_hot
 from sparkwell.tables import table
@@ -134,7 +134,7 @@ _STAMPS = """SELECT concat(substr(s, 1, 2), '/', substr(s, 3, 2), ' ', substr(s,
 def udf_reformat_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_all(spark)
     stamps = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "MMddHHmm").alias("stamp")
+        "l_orderkey", "l_linenumber", compact_text(F.col("l_shipdate")).alias("stamp")
     )
     return stamps.selectExpr("stamp_text(stamp) AS readable", "l_orderkey", "l_linenumber")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwell import views
-from sparkwell.functions.dates import parse_local
+from sparkwell.functions.clock import parse_day, parse_moment
 from sparkwell.functions.patterns import CALL_DAY, CALL_MOMENT
 from sparkwell.registry import query
 
@@ -22,9 +22,9 @@ def with_moments(calls: DataFrame) -> DataFrame:
     """The three date texts replaced by timestamps, and the delay under its full name."""
     replaced = calls.withColumns(
         {
-            "IncidentDate": parse_local(F.col("CallDate"), CALL_DAY),
-            "OnWatchDate": parse_local(F.col("WatchDate"), CALL_DAY),
-            "AvailableDtTS": parse_local(F.col("AvailableDtTm"), CALL_MOMENT),
+            "IncidentDate": parse_day(F.col("CallDate"), CALL_DAY),
+            "OnWatchDate": parse_day(F.col("WatchDate"), CALL_DAY),
+            "AvailableDtTS": parse_moment(F.col("AvailableDtTm"), CALL_MOMENT),
         }
     )
     return replaced.drop("CallDate", "WatchDate", "AvailableDtTm").withColumnRenamed("Delay", "DelayMinutes")

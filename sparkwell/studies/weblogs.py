@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwell import views
-from sparkwell.functions.dates import parse_log_stamp
+from sparkwell.functions.clock import parse_log_stamp, part
 from sparkwell.functions.patterns import LOG_DATE, LOG_FIELDS, LOG_HOST, LOG_LINE, NO_MATCH
 from sparkwell.registry import query
 
@@ -43,7 +43,10 @@ def first_match(text: Column, pattern: str) -> Column:
 def host_and_date(lines: DataFrame) -> DataFrame:
     """The host and the time of each line, looked for separately."""
     stamp = first_match(F.col("value"), LOG_DATE)
-    moment = F.date_format(parse_log_stamp(stamp), "dd/MM/yyyy HH:mm:ss")
+    found = parse_log_stamp(stamp)
+    day = F.concat_ws("/", part(found, "dd"), part(found, "MM"), part(found, "yyyy"))
+    time = F.concat_ws(":", part(found, "HH"), part(found, "mm"), part(found, "ss"))
+    moment = F.when(found.isNotNull(), F.concat_ws(" ", day, time))
     return lines.select(
         first_match(F.col("value"), LOG_HOST).alias("host"), F.coalesce(moment, F.lit(NO_MATCH)).alias("date")
     )
@@ -139,5 +142,5 @@ def nasa_q8(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def nasa_q9(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = parsed(spark, sf_dir).filter(F.col("http_status") == 404)
-    per_day = missing.groupBy(F.date_format("datetime", "yyyy-MM-dd").alias("day"), "http_status")
+    per_day = missing.groupBy(F.date_format(F.col("datetime").cast("date"), "yyyy-MM-dd").alias("day"), "http_status")
     return per_day.agg(F.count("*").alias("total")).orderBy(F.desc("total"), "day")

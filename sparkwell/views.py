@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwell.functions.clock import call_text, compact_text, day_text, log_text
 from sparkwell.functions.patterns import LOG_LINE
 from sparkwell.tables import table
 
@@ -44,7 +45,7 @@ def blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Emergency calls with their dates as text, the way a CSV file holds them."""
     o = F.col("o_orderkey")
-    day = F.date_format("o_orderdate", "MM/dd/yyyy")
+    day = day_text(F.col("o_orderdate"))
     available = F.expr("timestampadd(SECOND, CAST(o_orderkey % 86400 AS INT), o_orderdate)")
     placed = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
@@ -54,7 +55,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(o % 53 != 0, F.col("o_orderpriority")).alias("CallType"),
         day.alias("CallDate"),
         day.alias("WatchDate"),
-        F.date_format(available, "MM/dd/yyyy hh:mm:ss a").alias("AvailableDtTm"),
+        call_text(available).alias("AvailableDtTm"),
         F.col("c_name").alias("Address"),
         (F.col("o_custkey") % 30 + 94100).cast("int").alias("Zipcode"),
         (o % 5 + 1).cast("int").alias("NumAlarms"),
@@ -106,7 +107,7 @@ def flight_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(supplied, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
-            F.date_format("l_shipdate", "MMddHHmm").alias("date"),
+            compact_text(F.col("l_shipdate")).alias("date"),
             F.datediff("l_shipdate", "o_orderdate").alias("delay"),
             F.floor(F.col("l_extendedprice") / 10).cast("int").alias("distance"),
             "origin",
@@ -227,7 +228,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("host"),
         F.col("user_id").cast("string"),
         F.lit(".example.com - - ["),
-        F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"),
+        log_text(F.col("ts")),
         F.lit(' -0400] "'),
         F.when(F.col("event_type") == "error", "POST").otherwise("GET"),
         F.lit(" /"),

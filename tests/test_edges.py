@@ -6,8 +6,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from sparkwell.functions import arrays, conditions, dates
+from sparkwell.functions import arrays, clock, conditions, dates
 from sparkwell.functions.udfs import cube_batch, plus_one, plus_one_batch, register_all, roots_per_partition
+from sparkwell.functions.patterns import CALL_MOMENT
 from sparkwell.operators import aggregates, windows
 from sparkwell.operators.filters import all_of
 from sparkwell.studies import fire, hr, iot, people, ranges, sales, usage, weblogs
@@ -241,8 +242,23 @@ def test_long_id_sums_do_not_overflow(spark):
 
 def test_dates_that_do_not_fit_the_pattern_are_null(spark):
     df = spark.createDataFrame([("01/31/2018",), ("1/2/2018",), ("oops",), (None,)], "d STRING")
-    found = [r[0] for r in df.select(dates.parse_local(F.col("d"), "MM/dd/yyyy")).collect()]
-    assert found == [datetime.datetime(2018, 1, 31), None, None, None]
+    first = datetime.datetime(2018, 1, 31)
+    for parse in (clock.parse_day, clock.parse_moment):
+        assert [r[0] for r in df.select(parse(F.col("d"), "MM/dd/yyyy")).collect()] == [first, None, None, None]
+
+
+def test_wall_clock_does_not_depend_on_the_session_zone(spark):
+    skipped = "04/07/1996 02:07:26 AM"  # an hour that does not exist in New York
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(skipped, "07/Apr/1996:02:07:26")], "call STRING, log STRING").select(
+            clock.parse_moment(F.col("call"), CALL_MOMENT).alias("m"), clock.parse_log_stamp(F.col("log")).alias("l")
+        )
+        moment = datetime.datetime(1996, 4, 7, 2, 7, 26)
+        row = df.select("m", "l", clock.call_text(F.col("m")), clock.log_text(F.col("l")), clock.compact_text(F.col("m")))
+        assert tuple(row.first()) == (moment, moment, skipped, "07/Apr/1996:02:07:26", "04070207")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_a_bad_cast_raises_where_try_cast_gives_null(spark):
