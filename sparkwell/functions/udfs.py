@@ -57,11 +57,13 @@ def plus_one_batch(v: pd.Series) -> pd.Series:
     return v + 1.0
 
 
-@F.pandas_udf(T.LongType())
-def cube_batch(n: pd.Series) -> pd.Series:
+def _cube_series(n: pd.Series) -> pd.Series:
     return n**3
 
 
+cube_batch = F.pandas_udf(_cube_series, T.LongType())
+
+
 class RootWriter:
     """A resource that is costly to open: opened once for a partition, used for each of its batches."""
 

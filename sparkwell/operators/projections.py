@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkwell import views
 from sparkwell.functions.conditions import usage_cost
@@ -11,9 +12,10 @@ from sparkwell.registry import query
 from sparkwell.tables import table
 
 
-def reshape(rows: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Positional result type: the given columns, in order, under new names."""
-    return rows.select(*[F.col(old).alias(new) for old, new in names.items()])
+def reshape(rows: DataFrame, names: dict[str, str], schema: str | None = None) -> DataFrame:
+    """The given columns, in order, under new names; with a schema also in its types, or an error."""
+    renamed = rows.select(*[F.col(old).alias(new) for old, new in names.items()])
+    return renamed if schema is None else renamed.to(T.StructType.fromDDL(schema))
 
 
 @query("proj_select", 'SELECT State, Color, "Count" FROM v_sales')

@@ -16,9 +16,10 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
-        # Only a session without the setting (a local test) gets a folder of its own.
         _own_folder[app] = tempfile.mkdtemp(prefix="sparkwell-")
     return _own_folder[app]
 

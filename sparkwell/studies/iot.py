@@ -10,6 +10,8 @@ from sparkwell.operators.aggregates import mean_of_numbers
 from sparkwell.operators.projections import reshape
 from sparkwell.registry import query
 
+TEMP_BY_COUNTRY = "temp LONG, device_name STRING, device_id LONG, cca3 STRING"
+
 _MEASURES = ("temp", "humidity", "c02_level", "battery_level")
 
 
@@ -25,8 +27,9 @@ def iot_hot_humid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("iot_temp_country", "SELECT temp, device_name, device_id, cca3 FROM v_iot WHERE temp > 25")
 def iot_temp_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warm = views.iot(spark, sf_dir).filter(F.col("temp") > 25)
     names = ("temp", "device_name", "device_id", "cca3")
-    return reshape(views.iot(spark, sf_dir).filter(F.col("temp") > 25), dict(zip(names, names)))
+    return reshape(warm, dict(zip(names, names)), TEMP_BY_COUNTRY)
 
 
 @query("iot_temp_project", "SELECT temp, device_name, device_id, humidity, cca3, cn FROM v_iot WHERE temp > 25")

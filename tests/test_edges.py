@@ -225,6 +225,15 @@ def test_extremes_names(spark):
     }
 
 
+def test_a_typed_shape_refuses_other_columns(spark):
+    from sparkwell.operators.projections import reshape
+
+    df = spark.createDataFrame([(1, "x")], "a INT, b STRING")
+    assert reshape(df, {"a": "n"}, "n LONG").dtypes == [("n", "bigint")]
+    with pytest.raises(PySparkException):
+        reshape(df, {"b": "n"}, "n LONG, missing STRING NOT NULL").collect()
+
+
 def test_hr_records_do_not_multiply(spark):
     day = datetime.datetime(2020, 1, 1)
     employees = spark.createDataFrame([(1, "x")], "emp_no INT, name STRING")

@@ -178,3 +178,18 @@ def test_key_partitioning_keeps_a_key_together(spark, sf_dir):
     placed = rows.withColumn("part", F.spark_partition_id())
     together = placed.groupBy("k").agg(F.countDistinct("part").alias("parts"))
     assert [r.parts for r in together.collect()] == [1] * 5
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://cluster"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Session())
