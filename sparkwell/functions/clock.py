@@ -22,20 +22,21 @@ def part(moment: Column, letters: str) -> Column:
 
 def compact_text(moment: Column) -> Column:
     """``MMddHHmm``."""
-    return F.concat(*[part(moment, letters) for letters in ("MM", "dd", "HH", "mm")])
+    start = ISO_PARTS["MM"][0]
+    return F.translate(F.substring(moment.cast("string"), start, len("MM-dd HH:mm")), "- :", "")
 
 
 def log_text(moment: Column) -> Column:
     """``dd/MMM/yyyy:HH:mm:ss``."""
     month = F.element_at(F.array(*[F.lit(m) for m in LOG_MONTHS]), F.month(moment))
-    day = F.concat_ws("/", part(moment, "dd"), month, part(moment, "yyyy"))
-    return F.concat_ws(":", day, *[part(moment, letters) for letters in ("HH", "mm", "ss")])
+    day = F.concat_ws("/", F.lpad(F.day(moment).cast("string"), 2, "0"), month, F.year(moment).cast("string"))
+    return F.concat_ws(":", day, F.substring(moment.cast("string"), ISO_PARTS["HH"][0], len("HH:mm:ss")))
 
 
 def call_text(moment: Column) -> Column:
     """``MM/dd/yyyy hh:mm:ss a``."""
     hour = F.lpad(((F.hour(moment) + 11) % 12 + 1).cast("string"), 2, "0")
-    time = F.concat_ws(":", hour, part(moment, "mm"), part(moment, "ss"))
+    time = F.concat_ws(":", hour, F.substring(moment.cast("string"), ISO_PARTS["mm"][0], len("mm:ss")))
     half = F.when(F.hour(moment) < 12, "AM").otherwise("PM")
     return F.concat_ws(" ", day_text(moment), time, half)
 

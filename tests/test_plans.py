@@ -83,6 +83,12 @@ def test_ranges_run_in_one_generated_stage(spark):
     assert "BroadcastHashJoin" in plan_of(join_count(spark.range(10**6), spark.range(1000)))
 
 
+def test_a_log_line_meets_the_pattern_once(spark, sf_dir):
+    for key in ("nasa_parse", "nasa_q2"):
+        plan = plan_of(all_queries()[key](spark, sf_dir))
+        assert plan.count("regexp_replace(") == 1 and "RLIKE" not in plan, key
+
+
 @pytest.mark.parametrize("key", ["arr_transform", "nasa_parse", "agg_pivot_three", "udf_builtin_plus_one", "win_last_record"])
 def test_built_in_work_stays_in_the_jvm(spark, sf_dir, key):
     plan = plan_of(all_queries()[key](spark, sf_dir))
