@@ -104,7 +104,7 @@ def subtract_mean_in_pandas(rows: DataFrame, share: float | None = None, max_row
 
     A whole group goes to the function only where it is a small share of the rows and fits in
     memory. Any other id is cut by input partition, so a piece is never larger than one scan
-    split, and its mean comes from an ordinary aggregate.
+    split, and its mean comes from an ordinary aggregate. ``rows`` should come from a scan.
     """
     hot = hot_keys(rows, "id", share, max_rows)
     whole = rows.filter(not_hot("id", hot)).groupBy("id").applyInPandas(_minus_own_mean, "id long, v double")

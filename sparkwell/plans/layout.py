@@ -73,10 +73,12 @@ def from_disk_cache(rows: DataFrame, reports: Callable[[DataFrame], DataFrame],
     return rows.sparkSession.read.parquet(path)
 
 
-@query("layout_repartition", "SELECT CAST(16 AS BIGINT) AS parts, count(*) AS n FROM lineitem")
+@query("layout_repartition", "SELECT true AS all_used, count(*) AS n FROM lineitem")
 def layout_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spread = table(spark, sf_dir, "lineitem").select("l_orderkey").repartition(16)
-    return rows_per_partition(spread).agg(F.count("part").alias("parts"), F.sum("n").alias("n"))
+    wanted = max(16, shuffle_partitions(spark))
+    spread = table(spark, sf_dir, "lineitem").select("l_orderkey").repartition(wanted)
+    used = F.count("part") == F.lit(wanted)
+    return rows_per_partition(spread).agg(used.alias("all_used"), F.sum("n").alias("n"))
 
 
 @query(

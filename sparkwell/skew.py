@@ -7,10 +7,13 @@ cannot; the helpers here cover those cases.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkwell.session import shuffle_partitions
 
@@ -94,6 +97,20 @@ def at_most(small: DataFrame, max_rows: int) -> bool:
     return len(small.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Ask for a broadcast only when the size has been checked; otherwise leave the choice to Spark."""
-    return F.broadcast(small) if at_most(small, max_rows) else small
+def bytes_of(small: DataFrame) -> int:
+    """About how large the rows are in memory: 16 bytes a number, and every byte of a text or a nested value."""
+
+    def width(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.octet_length(F.to_json(F.struct(field.name)))
+        return F.lit(16)
+
+    of_row = reduce(operator.add, [F.coalesce(width(field), F.lit(0)) + 8 for field in small.schema.fields])
+    return small.agg(F.sum(of_row)).first()[0] or 0
+
+
+def broadcast_if_small(small: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Ask for a broadcast only when rows and bytes have been checked; otherwise leave the choice to Spark."""
+    return F.broadcast(small) if at_most(small, max_rows) and bytes_of(small) <= max_bytes else small

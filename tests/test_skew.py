@@ -107,6 +107,9 @@ def test_size_check_decides_about_a_broadcast(spark):
     try:
         assert "BroadcastHashJoin" in plan_of(other.join(skew.broadcast_if_small(big, 1000), "id"))
         assert "SortMergeJoin" in plan_of(other.join(skew.broadcast_if_small(big, 999), "id"))
+        wide = big.withColumn("text", F.repeat(F.lit("x"), 1000)).withColumn("list", F.array("id"))
+        assert 1_000_000 < skew.bytes_of(wide) < 1_100_000
+        assert "SortMergeJoin" in plan_of(other.join(skew.broadcast_if_small(wide, 1000, max_bytes=10**6), "id"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
