@@ -145,9 +145,10 @@ def join_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_credit(spark, sf_dir).join(_dear(spark, sf_dir), "custkey", "right")
 
 
-@query("join_full", f"SELECT custkey, o_orderkey, c_name FROM {_SIDES.format(kind='FULL')}")
+@query("join_full", f"SELECT custkey, CAST(o_orderkey AS VARCHAR) AS order_id, c_name FROM {_SIDES.format(kind='FULL')}")
 def join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return full_outer(_dear(spark, sf_dir), _in_credit(spark, sf_dir), "custkey")
+    met = full_outer(_dear(spark, sf_dir), _in_credit(spark, sf_dir), "custkey")
+    return met.select("custkey", F.col("o_orderkey").cast("string").alias("order_id"), "c_name")
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkwell import views
 from sparkwell.functions.conditions import delay_class_open, delay_class_stepped
-from sparkwell.operators.aggregates import MONTHS, delay_pivot
+from sparkwell.operators.aggregates import MONTHS, as_doubles, delay_pivot
 from sparkwell.operators.filters import HUB_DESTINATIONS, HUBS
 from sparkwell.operators.windows import top_by_dense_rank
 from sparkwell.registry import query
@@ -127,8 +127,9 @@ def flights_window_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "flights_pivot",
     """SELECT destination,
-              max(delay) FILTER (WHERE m = 1) AS "JAN_MaxDelay", max(delay) FILTER (WHERE m = 2) AS "FEB_MaxDelay",
-              max(delay) FILTER (WHERE m = 3) AS "MAR_MaxDelay",
+              CAST(max(delay) FILTER (WHERE m = 1) AS DOUBLE) AS "JAN_MaxDelay",
+              CAST(max(delay) FILTER (WHERE m = 2) AS DOUBLE) AS "FEB_MaxDelay",
+              CAST(max(delay) FILTER (WHERE m = 3) AS DOUBLE) AS "MAR_MaxDelay",
               CAST(TRY_CAST(avg(delay) FILTER (WHERE m = 1) AS DECIMAL(4, 2)) AS DOUBLE) AS "JAN_AvgDelay",
               CAST(TRY_CAST(avg(delay) FILTER (WHERE m = 2) AS DECIMAL(4, 2)) AS DOUBLE) AS "FEB_AvgDelay",
               CAST(TRY_CAST(avg(delay) FILTER (WHERE m = 3) AS DECIMAL(4, 2)) AS DOUBLE) AS "MAR_AvgDelay"
@@ -136,5 +137,4 @@ def flights_window_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
        WHERE origin = 'NATION_20' AND m IN (1, 2, 3) GROUP BY destination""",
 )
 def flights_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = delay_pivot(views.flights(spark, sf_dir), "NATION_20", MONTHS).orderBy("destination")
-    return wide.withColumns({f"{name}_AvgDelay": F.col(f"{name}_AvgDelay").cast("double") for name in MONTHS})
+    return as_doubles(delay_pivot(views.flights(spark, sf_dir), "NATION_20", MONTHS)).orderBy("destination")
