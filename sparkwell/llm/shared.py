@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
         if batch.num_rows == 0:
             continue
         values = batch.column(batch.schema.get_field_index(column))
-        sizes = pa.compute.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False)
         piece = np.cumsum(sizes) // max_bytes
         starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(starts, starts[1:], strict=False):
@@ -82,7 +83,7 @@ def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     new[0] = True
     for k in keys:
         column = table.column(k).combine_chunks()
-        new[1:] |= pa.compute.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
     return np.append(np.flatnonzero(new), table.num_rows)
 
 
