@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwell.llm import line_dedup
+from sparkwell.llm import line_dedup, mixing, sentencepiece_tokens
 from sparkwell.llm.registry import query
 from sparkwell.tables import table
 
 
+#: Where the public model file lies; set SENTENCEPIECE_MODEL to take another.
+MODEL_PATH = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
@@ -37,3 +43,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup(documents(spark, sf_dir), min_docs=10)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_source_mixing")
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = mixing.decide(docs, weights=(3, 1, 2), share=1.5, most=2)
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query("op5_sentencepiece")
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentencepiece_tokens.encode(documents(spark, sf_dir), sentencepiece_tokens.model_bytes(MODEL_PATH), with_ids=False)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "parity", "round_trip")
