@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwell.llm import line_dedup, mixing, sentencepiece_tokens
+from sparkwell.llm import language_id, line_dedup, mixing, sentencepiece_tokens
 from sparkwell.llm.registry import query
 from sparkwell.tables import table
 
@@ -56,3 +56,12 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentencepiece_tokens.encode(documents(spark, sf_dir), sentencepiece_tokens.model_bytes(MODEL_PATH), with_ids=False)
     return found.select("doc_id", "n_tokens", "ids_sha256", "parity", "round_trip")
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    aside = language_id.held_out("doc_id")
+    model = language_id.train(docs.filter(~aside))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", aside.alias("held_out"), "lang_pred", "score", "ambiguous")
