@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwell.llm import language_id, line_dedup, mixing, sentencepiece_tokens
+from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentencepiece_tokens
 from sparkwell.llm.registry import query
 from sparkwell.tables import table
 
@@ -65,3 +65,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(docs.filter(~aside))
     found = language_id.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", aside.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op7_minhash_near_dedup")
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.groups(documents(spark, sf_dir), words=4, similarity=(80, 100))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
