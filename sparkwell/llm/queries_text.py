@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentencepiece_tokens
+from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentencepiece_tokens, suffix_dedup
 from sparkwell.llm.registry import query
 from sparkwell.tables import table
 
@@ -71,3 +71,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.groups(documents(spark, sf_dir), words=4, similarity=(80, 100))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(documents(spark, sf_dir), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
