@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkwell.llm import embedding_dedup
+from sparkwell.llm import embedding_dedup, permutation_index
 from sparkwell.llm.registry import query
 from sparkwell.tables import table
 
@@ -29,3 +29,9 @@ from sparkwell.tables import table
 )
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.groups(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+@query("op4_permutation_index")
+def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return permutation_index.nearest(rows, rows.filter("vec_id % 20 = 0"), k=20)
