@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentencepiece_tokens, suffix_dedup
+from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentence_spans, sentencepiece_tokens, suffix_dedup
 from sparkwell.llm.registry import query
 from sparkwell.tables import table
 
@@ -77,3 +77,39 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.dedup(documents(spark, sf_dir), length=400)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op9_sentence_spans",
+    r"""
+    WITH sentences AS (
+        SELECT doc_id, unnest(regexp_extract_all(text, '[^.!?\n]+[.!?\n]*|[.!?\n]+')) AS sentence,
+               generate_subscripts(regexp_extract_all(text, '[^.!?\n]+[.!?\n]*|[.!?\n]+'), 1) AS pos
+        FROM documents
+    ), keyed AS (
+        SELECT *, translate(trim(sentence, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM sentences
+    ), pairs AS (
+        SELECT doc_id, pos, key, lead(key) OVER (PARTITION BY doc_id ORDER BY pos) AS next FROM keyed
+    ), ranked AS (
+        SELECT doc_id, pos, row_number() OVER (PARTITION BY key, next ORDER BY doc_id, pos) AS turn
+        FROM pairs
+        WHERE next IS NOT NULL
+          AND len(regexp_extract_all(key || ' ' || next, '[^\x20\x09-\x0D]+')) >= 10
+    ), gone AS (
+        SELECT doc_id, pos FROM ranked WHERE turn > 1 UNION SELECT doc_id, pos + 1 FROM ranked WHERE turn > 1
+    ), counted AS (
+        SELECT k.doc_id, count(*) AS n_sentences, count(g.pos) AS n_removed,
+               coalesce(string_agg(sentence, '' ORDER BY k.pos) FILTER (WHERE g.pos IS NULL), '') AS kept
+        FROM keyed k LEFT JOIN gone g ON k.doc_id = g.doc_id AND k.pos = g.pos
+        GROUP BY k.doc_id
+    )
+    SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM documents d LEFT JOIN counted c ON d.doc_id = c.doc_id
+    """,
+)
+def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentence_spans.dedup(documents(spark, sf_dir), span=2, least_words=10)
+    return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
