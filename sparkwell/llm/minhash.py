@@ -44,6 +44,8 @@ from sparkwell.skew import broadcast_if_small
 COORDINATES, BANDS, ROWS = 512, 32, 4
 SKETCH_BYTES = 8 * BANDS + COORDINATES - BANDS * ROWS
 TILE = 512
+#: Members of a bucket from which pairs are confirmed in place.
+CROWD = 64
 
 _word = re.compile(WORD_BYTES)
 _words: dict[bytes, int] = {}
@@ -174,21 +176,26 @@ def _bands(classes: DataFrame) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, least: float) -> DataFrame:
+def _across(members: DataFrame, least: float, sets: DataFrame | None = None, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
     """Pairs of a bucket's members in different components, compared by sketch in tiles.
 
     ``members``: (band, key, n, class, component, sketch) with ``n`` members in the bucket. A
     bucket of many is cut into parts of about ``TILE`` members by hash, and a tile holds two
-    parts. Only pairs that agree and share no earlier band are written.
+    parts. Only pairs that agree and share no earlier band are written; with ``sets``, they
+    have passed the exact test as well, made inside the tile.
     """
     keys = ["band", "key", "low", "high"]
+    if sets is not None:
+        members = members.join(sets, "class")
+    extra = [] if sets is None else ["shingles"]
     tiles = (
         members.withColumn("parts", F.ceil(F.col("n") / TILE).cast("int"))
         .withColumn("part", F.pmod(F.xxhash64("class", "key"), "parts").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("band", "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "class", "component", "sketch")
+        .select("band", "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "class", "component", "sketch", *extra)
     )
     spread = tiles.repartition(shuffle_partitions(members.sparkSession), *keys).sortWithinPartitions(*keys)
+    num, den = similarity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, keys):
@@ -198,6 +205,10 @@ def _across(members: DataFrame, least: float) -> DataFrame:
             band, part, low, high = (table.column(c).to_numpy() for c in ("band", "part", "low", "high"))
             names = table.column("class").to_pylist()
             label = np.unique(np.array(table.column("component").to_pylist()), return_inverse=True)[1]
+            if extra:
+                lists = table.column("shingles").combine_chunks()
+                ends = lists.offsets.to_numpy()
+                values = lists.values.to_numpy().view(np.uint64)
             a, b = [], []
             for start, end in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
                 rows = np.arange(start, end)
@@ -207,6 +218,14 @@ def _across(members: DataFrame, least: float) -> DataFrame:
                     y = y[y > x] if low[start] == high[start] else y
                     y = y[(lead[y] == lead[x]).argmax(axis=1) == band[start]] if len(y) else y
                     y = y[agreement(sketches[y], sketches[x]) >= least] if len(y) else y
+                    if extra and len(y):
+                        mine = values[ends[x] : ends[x + 1]]
+                        theirs = [values[ends[i] : ends[i + 1]] for i in y.tolist()]
+                        sizes = np.array([len(t) for t in theirs])
+                        every = np.concatenate(theirs)
+                        at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+                        both = np.add.reduceat((mine[at] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+                        y = y[both * den >= (sizes + len(mine) - both) * num]
                     a += [names[x]] * len(y)
                     b += [names[i] for i in y.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
@@ -253,8 +272,12 @@ def groups(
     labelled = stored(labelled.select("band", "key", "n", "class", "component"), "labelled")
     torn = labelled.groupBy("band", "key").agg(F.min("component").alias("lowest"), F.max("component").alias("highest"))
     torn = stored(torn.filter("lowest <> highest").select("band", "key"), "torn-buckets")
-    apart = labelled.join(torn, ["band", "key"]).join(classes.select("class", "sketch"), "class")
-    more = stored(_confirmed(stored(_across(apart, least_agree), "cross-pairs"), sets, similarity), "cross-links")
+    apart = stored(labelled.join(torn, ["band", "key"]), "apart")
+    sketches = classes.select("class", "sketch")
+    # Where a bucket is crowded, near misses would be many pairs: there the exact test is made in the tile.
+    few = _across(apart.filter(F.col("n") <= CROWD).join(sketches, "class"), least_agree)
+    many = _across(apart.filter(F.col("n") > CROWD).join(sketches, "class"), least_agree, sets, similarity)
+    more = stored(_confirmed(stored(few, "cross-pairs"), sets, similarity).union(many), "cross-links")
     if more.take(1):
         labels = components(links.union(more)).select(F.col("node").alias("class"), "component")
 
