@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentence_spans, sentencepiece_tokens, suffix_dedup
+from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentence_spans, sentencepiece_tokens, suffix_dedup, weak_quality
 from sparkwell.llm.registry import query
 from sparkwell.tables import table
 
@@ -113,3 +113,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentence_spans.dedup(documents(spark, sf_dir), span=2, least_words=10)
     return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_weak_quality")
+def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model, scorer = weak_quality.train(docs)
+    return weak_quality.score(docs, model, scorer).select("doc_id", "posterior", "score", "kept")
