@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwell.llm.shared import slices, stored
+from sparkwell.llm.shared import packed_longs, slices, stored
 
 SENTENCE = r"[^.!?\n]+[.!?\n]*|[.!?\n]+"
 
@@ -96,8 +96,7 @@ def covered(
     counts = _heads(slim, span, least_words).groupBy("head").agg(F.count("*").alias("n")).filter("n > 1")
     repeated = stored(counts.select("head"), "repeated-runs")
     if repeated.count() * 8 <= broadcast_bytes:
-        only = np.sort(repeated.toPandas()["head"].to_numpy(np.int64))
-        places = _places(slim, span, least_words, only)
+        places = _places(slim, span, least_words, packed_longs(repeated, "head"))
     else:
         head = F.conv(F.hex(F.substring("run", 1, 8)), 16, -10).cast("long")
         places = _places(slim, span, least_words, None).withColumn("head", head).join(repeated, "head").drop("head")
@@ -117,17 +116,17 @@ def dedup(
     gone = covered(docs, span, least_words, id_col, text, broadcast_bytes)
     size = gone.agg(F.coalesce(F.sum(F.size("gone") * 4 + 80), F.lit(0))).first()[0]
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "kept")]
-    side = gone.select(F.col("id").alias("gone_id"), F.col("text_key").alias("gone_key"), F.col("gone").alias("gone_at"))
+    side = gone.select(F.col("id").alias("_gone_id"), F.col("text_key").alias("_gone_key"), F.col("gone").alias("_gone_at"))
     side = F.broadcast(side) if size <= broadcast_bytes else side
     key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    joined = docs.select(*names).join(side, F.col(id_col).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key")), "left").select(*names, "gone_at")
+    joined = docs.select(*names).join(side, F.col(id_col).eqNullSafe(F.col("_gone_id")) & (key == F.col("_gone_key")), "left").select(*names, "_gone_at")
     zero = F.lit(0).cast("long")
     schema = docs.select(*names, zero.alias("n_sentences"), zero.alias("n_removed"), F.lit("").alias("kept")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 4 << 20):
             texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
-            lists = batch.column(batch.schema.get_field_index("gone_at")).to_pylist()
+            lists = batch.column(batch.schema.get_field_index("_gone_at")).to_pylist()
             total, removed, kept = [], [], []
             for raw, at in zip(texts, lists, strict=True):
                 parts = sentences(raw or b"")

@@ -92,6 +92,18 @@ def fixed_bytes(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
+def packed_longs(rows: DataFrame, column: str) -> np.ndarray:
+    """A column of long values on the driver, eight bytes each; the caller has checked how many there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(0).to_numpy(zero_copy_only=False).astype("<i8")
+            yield pa.RecordBatch.from_arrays([pa.array([values.tobytes()], pa.binary())], names=["packed"])
+
+    parts = [bytes(r["packed"]) for r in rows.select(column).mapInArrow(run, "packed binary").toLocalIterator()]
+    return np.sort(np.frombuffer(b"".join(parts), "<i8"))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every bit of the input moves every bit of the output."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwell.llm.shared import group_starts, mix, slices, stored, whole_groups
+from sparkwell.llm.shared import group_starts, mix, packed_longs, slices, stored, whole_groups
 from sparkwell.session import shuffle_partitions
 
 WINDOW = 16
@@ -202,8 +202,9 @@ def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
 def _read_again(docs: DataFrame, repeated: DataFrame, length: int, broadcast_bytes: int) -> DataFrame:
     """``_FOUND`` rows of all texts; ``repeated``: (core, same) for each core found more than once."""
     if repeated.count() * 9 <= broadcast_bytes:
-        known = repeated.orderBy("core").toPandas()
-        shared = docs.sparkSession.sparkContext.broadcast((known["core"].to_numpy(np.int64), known["same"].to_numpy(bool)))
+        alike = packed_longs(repeated.filter("same"), "core")
+        cores = np.sort(np.concatenate([alike, packed_longs(repeated.filter("not same"), "core")]))
+        shared = docs.sparkSession.sparkContext.broadcast((cores, np.isin(cores, alike)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cores, same = shared.value
@@ -391,17 +392,18 @@ def dedup(docs: DataFrame, length: int = 400, text: str = "text", broadcast_byte
     """
     runs = repeats(docs, length, text, broadcast_bytes, group)
     size = runs.agg(F.coalesce(F.sum(F.size("runs") * 16 + 64), F.lit(0))).first()[0]
-    names = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept", "text_key", "runs")]
-    keyed = docs.select(*names, F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("text_key"))
-    side = F.broadcast(runs) if size <= broadcast_bytes else runs
-    joined = keyed.join(side, "text_key", "left").select(*names, "runs")
+    names = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept")]
+    keyed = docs.select(*names, F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("_text_key"))
+    side = runs.select(F.col("text_key").alias("_text_key"), F.col("runs").alias("_runs"))
+    side = F.broadcast(side) if size <= broadcast_bytes else side
+    joined = keyed.join(side, "_text_key", "left").select(*names, "_runs")
     zero = F.lit(0).cast("long")
     schema = docs.select(*names, zero.alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.lit(b"").alias("kept")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 8 << 20):
             texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
-            lists = batch.column(batch.schema.get_field_index("runs")).to_pylist()
+            lists = batch.column(batch.schema.get_field_index("_runs")).to_pylist()
             sizes, removed, spans, kept = [], [], [], []
             for raw, found in zip(texts, lists, strict=True):
                 raw = raw or b""
