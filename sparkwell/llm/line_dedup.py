@@ -274,18 +274,18 @@ def _dropped_in_place(docs: DataFrame, frequent: DataFrame, n: int, shards: int,
 def _dropped_by_join(docs: DataFrame, frequent: DataFrame, id_col: str, text: str) -> DataFrame:
     """Decisions depend on the text alone, so they are joined back by its digest; repeated texts share them."""
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    rows = docs.drop(*ADDED).withColumn("text_key", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
+    rows = docs.drop(*ADDED).withColumn("_text_key", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
     line = F.translate(F.trim(F.col("line"), F.lit(SPACES)), UPPER, LOWER)
-    each = rows.dropDuplicates(["text_key"]).select("text_key", F.posexplode(lines).alias("at", "line")).select("text_key", "at", line.alias("line"))
-    hits = each.filter("line <> ''").withColumn("key", F.unhex(F.md5("line"))).join(frequent, "key").select("text_key", "at")
-    drops = stored(hits.groupBy("text_key").agg(F.collect_list("at").alias("gone")), "dropped-lines")
-    joined = rows.join(drops, "text_key", "left").withColumn("lines", lines)
-    gone = F.coalesce("gone", F.array().cast("array<int>"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone)
-    kept = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
+    each = rows.dropDuplicates(["_text_key"]).select("_text_key", F.posexplode(lines).alias("at", "line")).select("_text_key", "at", line.alias("line"))
+    hits = each.filter("line <> ''").withColumn("key", F.unhex(F.md5("line"))).join(frequent, "key").select("_text_key", "at")
+    drops = stored(hits.groupBy("_text_key").agg(F.collect_list("at").alias("_gone")), "dropped-lines")
+    joined = rows.join(drops, "_text_key", "left").withColumn("_lines", lines)
+    gone = F.coalesce("_gone", F.array().cast("array<int>"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
+    kept = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
     return joined.select(
-        *[c for c in rows.columns if c != "text_key"],
-        F.size("lines").cast("long").alias("n_lines"),
+        *[c for c in rows.columns if c != "_text_key"],
+        F.size("_lines").cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_dropped"),
         kept.alias("kept"),
     )

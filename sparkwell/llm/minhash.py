@@ -36,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkwell.llm.shared import WORD_BYTES, components, fixed_bytes, group_starts, mix, slices, stored, whole_groups
 from sparkwell.session import shuffle_partitions
@@ -122,9 +123,8 @@ def _sketched(docs: DataFrame, words: int) -> DataFrame:
             columns = [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "text_key", "n_shingles", "class", "sketch"])
 
-    zero = F.lit(0).cast("long").alias("n_shingles")
-    blank = [F.lit(b"").alias(c) for c in ("class", "sketch")]
-    return docs.mapInArrow(run, docs.select("id", F.lit(b"").alias("text_key"), zero, *blank).schema)
+    schema = T.StructType([docs.schema["id"]]).add("text_key", "binary").add("n_shingles", "long").add("class", "binary").add("sketch", "binary")
+    return docs.mapInArrow(run, schema)
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -300,11 +300,11 @@ def groups(
 def dedup(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text: str = "text", **more) -> DataFrame:
     """The rows of ``docs`` with all their columns, one of each group of near copies."""
     found = stored(groups(docs, words, similarity, id_col=id_col, text=text, **more), "near-copies")
-    stay = found.filter("stays").groupBy(F.col(id_col).alias("stay_id"), F.col("text_key").alias("stay_key")).agg(F.min("n_shingles").alias("stay_n"))
+    stay = found.filter("stays").groupBy(F.col(id_col).alias("_stay_id"), F.col("text_key").alias("_stay_key")).agg(F.min("n_shingles").alias("_stay_n"))
     key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    joined = docs.withColumn("row_key", key).join(stay, F.col(id_col).eqNullSafe(F.col("stay_id")) & (F.col("row_key") == F.col("stay_key")))
+    joined = docs.withColumn("_row_key", key).join(stay, F.col(id_col).eqNullSafe(F.col("_stay_id")) & (F.col("_row_key") == F.col("_stay_key")))
     repeated = found.filter("stays and n_shingles > 0").groupBy(id_col, "text_key").count().filter("count > 1")
     if repeated.take(1):
-        without = joined.filter("stay_n = 0")
-        joined = joined.filter("stay_n > 0").dropDuplicates(["stay_id", "row_key"]).unionByName(without)
+        without = joined.filter("_stay_n = 0")
+        joined = joined.filter("_stay_n > 0").dropDuplicates(["_stay_id", "_row_key"]).unionByName(without)
     return joined.select(*docs.columns)

@@ -181,15 +181,15 @@ def decide(
 def mixed(docs: DataFrame, weights, share: float = 1.5, most: int = 2, seed: int = 17, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: the rows of ``docs`` with all their columns, each as often as it is taken."""
     made = decide(docs, weights, share, most, seed, id_col, text, source)
-    copies = stored(made.groupBy("draw").agg(F.count("*").alias("mix_rows"), F.sum("copies").alias("mix_copies")).filter("mix_copies > 0"), "mixing-copies")
+    copies = stored(made.groupBy("draw").agg(F.count("*").alias("_mix_rows"), F.sum("copies").alias("_mix_copies")).filter("_mix_copies > 0").withColumnRenamed("draw", "_draw"), "mixing-copies")
     names = docs.columns
-    keyed = docs.withColumn("mix_draw", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text), F.col(source)))
-    joined = keyed.join(copies, keyed["mix_draw"] == copies["draw"])
+    keyed = docs.withColumn("_mix_draw", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text), F.col(source)))
+    joined = keyed.join(copies, keyed["_mix_draw"] == copies["_draw"])
     # Rows that are alike in id, text and source share their copies evenly, the first ones getting what is left over.
-    turn = F.row_number().over(Window.partitionBy("mix_draw").orderBy("mix_draw"))
-    one = joined.filter("mix_rows = 1").withColumn("mix_n", F.col("mix_copies"))
-    many = joined.filter("mix_rows > 1").withColumn(
-        "mix_n", F.floor(F.col("mix_copies") / F.col("mix_rows")) + (turn <= F.col("mix_copies") % F.col("mix_rows")).cast("int")
+    turn = F.row_number().over(Window.partitionBy("_mix_draw").orderBy("_mix_draw"))
+    one = joined.filter("_mix_rows = 1").withColumn("_mix_n", F.col("_mix_copies"))
+    many = joined.filter("_mix_rows > 1").withColumn(
+        "_mix_n", F.floor(F.col("_mix_copies") / F.col("_mix_rows")) + (turn <= F.col("_mix_copies") % F.col("_mix_rows")).cast("int")
     )
-    again = F.explode(F.sequence(F.lit(1), F.col("mix_n").cast("int")))
-    return one.unionByName(many).filter("mix_n > 0").withColumn("mix_turn", again).select(*names)
+    again = F.explode(F.sequence(F.lit(1), F.col("_mix_n").cast("int")))
+    return one.unionByName(many).filter("_mix_n > 0").withColumn("_mix_turn", again).select(*names)
