@@ -70,7 +70,14 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int, capacity: int = 1
             more = min(int(counts[i] - taken[i]), left // n)
             taken[i] += more
             left -= more * n
-    return taken + _knapsack(lengths, counts - taken, left) if left <= capacity else taken
+    if left > capacity:
+        return taken
+    taken = taken + _knapsack(lengths, counts - taken, left)
+    if budget <= capacity and int((lengths * taken).sum()) < budget:
+        # A small budget that the shares can't fill exactly: the programme may choose among all documents.
+        best = _knapsack(lengths, counts, budget)
+        taken = best if int((lengths * best).sum()) > int((lengths * taken).sum()) else taken
+    return taken
 
 
 def _knapsack(lengths: np.ndarray, spare: np.ndarray, budget: int) -> np.ndarray:
