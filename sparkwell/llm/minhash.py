@@ -278,10 +278,14 @@ def groups(
     few = _across(apart.filter(F.col("n") <= CROWD).join(sketches, "class"), least_agree)
     many = _across(apart.filter(F.col("n") > CROWD).join(sketches, "class"), least_agree, sets, similarity)
     more = stored(_confirmed(stored(few, "cross-pairs"), sets, similarity).union(many), "cross-links")
-    if more.take(1):
-        labels = components(links.union(more)).select(F.col("node").alias("class"), "component")
-
     named = classes.select("class", "first_row").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    if more.take(1):
+        # The late links join whole components, so the second search runs on those alone.
+        of = named.select("class", "component")
+        ends = more.join(of.withColumnRenamed("class", "a"), "a").select(F.col("component").alias("one"), "b")
+        ends = ends.join(of.withColumnRenamed("class", "b"), "b").select(F.col("one").alias("a"), F.col("component").alias("b"))
+        wider = components(ends).select(F.col("node").alias("component"), F.col("component").alias("wider"))
+        named = named.join(wider, "component", "left").select("class", "first_row", F.coalesce("wider", "component").alias("component"))
     named = stored(named, "named-classes")
     heads = stored(named.groupBy("component").agg(F.min("first_row").alias("head")), "heads")
     of_class = stored(named.join(heads, "component").select("class", "head"), "class-heads")

@@ -115,9 +115,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): the component is its smallest node.
 
     Each round takes the smallest label among the neighbours and then the label of that
-    label, so paths halve. All joins are between plain shuffles of stored tables, which
-    adaptive execution can split when a node has very many edges; labels never reach the
-    driver.
+    label, so paths halve; a round writes one table. All joins are between plain shuffles,
+    which adaptive execution can split when a node has very many edges; labels never reach
+    the driver.
     """
     forward = edges.select("a", "b").filter("a <> b")
     both = stored(forward.union(forward.select("b", "a")).distinct(), "edges")
@@ -125,9 +125,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         of = labels.select(F.col("node").alias("b"), F.col("component").alias("near"))
         nearest = both.join(of, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
-        moved = stored(
-            labels.join(nearest, "node").select("node", "component", F.least("component", "near").alias("low")), "moved"
-        )
+        moved = labels.join(nearest, "node").select("node", "component", F.least("component", "near").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("component").alias("lowest"))
         new = stored(
             moved.join(jump, "low").select(
