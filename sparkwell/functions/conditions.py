@@ -26,11 +26,10 @@ def delay_class_open(delay: Column) -> Column:
 
 def delay_class_stepped(delay: Column) -> Column:
     """Falling thresholds: a delay on a bound belongs to the class below it."""
-    labels = iter(DELAY_LABELS)
-    chain = F.when(delay > 360, next(labels))
-    for bound in (120, 60, 0):
-        chain = chain.when(delay > bound, next(labels))
-    return chain.otherwise(next(labels))
+    very_long, long, short, tolerable, none = DELAY_LABELS
+    return (
+        F.when(delay > 360, very_long).when(delay > 120, long).when(delay > 60, short).when(delay > 0, tolerable).otherwise(none)
+    )
 
 
 def on_time_status(delay: Column, tolerance: int = 10) -> Column:

@@ -21,20 +21,20 @@ def readable_stamp(text: Column) -> Column:
     "str_reformat_date",
     """SELECT date, concat(substr(date, 1, 2), '/', substr(date, 3, 2), ' ', substr(date, 5, 2), ':',
                            substr(date, 7, 2)) AS readable, count(*) AS n
-       FROM v_flights GROUP BY date""",
+       FROM v_stamps GROUP BY date""",
 )
 def str_reformat_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_stamp = views.flights(spark, sf_dir).groupBy("date").agg(F.count("*").alias("n"))
+    per_stamp = views.stamps(spark, sf_dir).groupBy("date").agg(F.count("*").alias("n"))
     return per_stamp.withColumn("readable", readable_stamp(F.col("date")))
 
 
 @query(
     "date_parse_patterns",
     """SELECT CallNumber, strptime(CallDate, '%m/%d/%Y')::TIMESTAMP AS called,
-              strptime(AvailableDtTm, '%m/%d/%Y %I:%M:%S %p')::TIMESTAMP AS available FROM v_calls""",
+              strptime(AvailableDtTm, '%m/%d/%Y %I:%M:%S %p')::TIMESTAMP AS available FROM v_call_records""",
 )
 def date_parse_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.calls(spark, sf_dir).select(
+    return views.call_records(spark, sf_dir).select(
         "CallNumber",
         parse_day(F.col("CallDate"), CALL_DAY).alias("called"),
         parse_moment(F.col("AvailableDtTm"), CALL_MOMENT).alias("available"),

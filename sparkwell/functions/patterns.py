@@ -1,11 +1,7 @@
 """Patterns and formats of the input data."""
 
-# The fields of a common-log-format line, in order, and the request verbs.
-VERBS = "GET|POST|HEAD|PUT|DELETE|CONNECT|OPTIONS|TRACE|PATCH"
-LOG_LINE = (
-    r"^(\S+) (\S+) (\S+) \[(\d{2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:\d{2}) -\d{4}\] "
-    rf'"({VERBS}) (\S+) (\S+)" (\d{{3}}) (\S+)$'
-)
+# A line in common log format, and the names of its fields in order.
+LOG_LINE = r'^(\S+) (\S+) (\S+) \[(\d{2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:\d{2}) -\d{4}\] "(GET|POST|HEAD|PUT|DELETE|CONNECT|OPTIONS|TRACE|PATCH) (\S+) (\S+)" (\d{3}) (\S+)$'
 LOG_FIELDS = [
     "host",
     "user_identifier",
@@ -18,6 +14,7 @@ LOG_FIELDS = [
     "content_size",
 ]
 LOG_MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+# The host and the time of a log line, looked for separately, and what stands for neither.
 LOG_HOST = r"^(\S+\.\S\S+)\s"
 LOG_DATE = r"(\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2})"
 NO_MATCH = "no match"

@@ -6,10 +6,10 @@ large share of the table, the grouped function gets it in pieces.
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from sparkwell import views
 from sparkwell.functions.clock import compact_text
 from sparkwell.registry import query
-from sparkwell.skew import attach_per_key, hot_keys, is_hot, not_hot
+from sparkwell.skew import attach_per_key
 from sparkwell.tables import table
 
 # Executors need not have this package: its functions travel with the job.
@@ -57,8 +57,15 @@ def plus_one_batch(v: pd.Series) -> pd.Series:
     return v + 1.0
 
 
+LARGEST_CUBED = 2_097_151
+
+
 def _cube_series(n: pd.Series) -> pd.Series:
-    return n**3
+    """A batch with a null arrives as floats; cubes are made of whole numbers all the same, and overflow is an error."""
+    whole = n.astype("Int64")
+    if (whole.abs() > LARGEST_CUBED).any():
+        raise OverflowError("the cube does not fit a long")
+    return whole**3
 
 
 cube_batch = F.pandas_udf(_cube_series, T.LongType())
@@ -76,7 +83,7 @@ class RootWriter:
 
     def write(self, squares: pd.Series) -> pd.Series:
         self.roots += len(squares)
-        return squares.map(math.sqrt)
+        return np.sqrt(squares)
 
 
 def roots_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,30 +98,25 @@ def subtract_mean(rows: DataFrame, share: float | None = None) -> DataFrame:
     return attach_per_key(rows, means, "id", share, null_is_key=True).select("id", (F.col("v") - F.col("mean")).alias("v"))
 
 
-def _minus_own_mean(group: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"id": group["id"], "v": group["v"] - group["v"].mean()})
-
-
 def _minus_given_mean(piece: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"id": piece["id"], "v": piece["v"] - piece["mean"]})
+    """Null stays null and NaN stays NaN, which pandas alone would not tell apart."""
+    value = (piece["v"] - piece["mean"]).to_numpy(np.float64)
+    return pd.DataFrame({"id": piece["id"], "v": pd.arrays.FloatingArray(value, ~piece["known"].to_numpy(bool))})
 
 
-def subtract_mean_in_pandas(rows: DataFrame, share: float | None = None, max_rows: int = 20_000_000) -> DataFrame:
+def subtract_mean_in_pandas(rows: DataFrame, share: float | None = None, rows_per_piece: int = 100_000) -> DataFrame:
     """The same with a pandas function per group.
 
-    A whole group goes to the function only where it is a small share of the rows and fits in
-    memory. Any other id is cut by input partition, so a piece is never larger than one scan
-    split, and its mean comes from an ordinary aggregate. ``rows`` should come from a scan.
+    The mean comes from an ordinary aggregate, so a group can be handed to pandas in pieces and
+    the answer doesn't depend on them: an id has a piece for each ``rows_per_piece`` of its rows,
+    and a row's piece is drawn by a hash.
     """
-    hot = hot_keys(rows, "id", share, max_rows)
-    whole = rows.filter(not_hot("id", hot)).groupBy("id").applyInPandas(_minus_own_mean, "id long, v double")
-    if not hot:
-        return whole
-    of_hot = rows.filter(is_hot("id", hot)).withColumn("piece", F.spark_partition_id())
-    means = of_hot.groupBy(F.col("id").alias("id_of_group")).agg(F.avg("v").alias("mean"))
-    same = F.col("id").eqNullSafe(F.col("id_of_group"))
-    pieces = of_hot.join(F.broadcast(means), same).groupBy("id", "piece")
-    return whole.unionByName(pieces.applyInPandas(_minus_given_mean, "id long, v double"))
+    numbered = rows.select("id", "v", F.monotonically_increasing_id().alias("row"))
+    means = rows.groupBy("id").agg(F.avg("v").alias("mean"), F.ceil(F.count("*") / rows_per_piece).alias("pieces"))
+    joined = attach_per_key(numbered, means, "id", share, null_is_key=True)
+    piece = F.pmod(F.xxhash64("row", "v"), "pieces").alias("piece")
+    cut = joined.select("id", "v", "mean", F.col("v").isNotNull().alias("known"), piece)
+    return cut.groupBy("id", "piece").applyInPandas(_minus_given_mean, "id long, v double")
 
 
 @query(

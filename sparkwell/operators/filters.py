@@ -44,9 +44,9 @@ def filter_and_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").filter(either).select("l_orderkey", "l_linenumber")
 
 
-@query("filter_not_null", "SELECT CallNumber, CallType FROM v_calls WHERE CallType IS NOT NULL")
+@query("filter_not_null", "SELECT CallNumber, CallType FROM v_call_records WHERE CallType IS NOT NULL")
 def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.calls(spark, sf_dir).filter(F.col("CallType").isNotNull()).select("CallNumber", "CallType")
+    return views.call_records(spark, sf_dir).filter(F.col("CallType").isNotNull()).select("CallNumber", "CallType")
 
 
 @query("filter_contains", "SELECT value FROM v_text WHERE contains(value, 'the')")

@@ -73,6 +73,7 @@ def join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     many, one = bucketed_pair(
         spark,
         sf_dir,
+        "purchases-of-users",
         many=lambda: purchases(spark, sf_dir),
         many_key="users_id",
         spread_by="transaction_id",

@@ -43,17 +43,19 @@ def cat_global_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cat_managed_table", "SELECT * FROM v_flights WHERE delay > 2000")
 def cat_managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database = storage.new_database(spark)
-    spark.sql(f"CREATE TABLE {database}.late ({FLIGHTS}) USING parquet")
-    views.flights(spark, sf_dir).filter("delay > 2000").write.insertInto(f"{database}.late")
-    return spark.table(f"{database}.late")
+    def fill(database: str) -> None:
+        spark.sql(f"CREATE TABLE {database}.late ({FLIGHTS}) USING parquet")
+        views.flights(spark, sf_dir).filter("delay > 2000").write.insertInto(f"{database}.late")
+
+    return spark.table(f"{storage.database_for(spark, 'late', sf_dir, fill)}.late")
 
 
 @query("cat_external_table", "SELECT * FROM v_flights")
 def cat_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"{storage.new_database(spark)}.flights_csv"
-    external_csv_table(spark, name, FLIGHTS, csv_copy(spark, sf_dir, "flights"))
-    return spark.table(name)
+    def fill(database: str) -> None:
+        external_csv_table(spark, f"{database}.flights_csv", FLIGHTS, csv_copy(spark, sf_dir, "flights"))
+
+    return spark.table(f"{storage.database_for(spark, 'flights-csv', sf_dir, fill)}.flights_csv")
 
 
 @query(

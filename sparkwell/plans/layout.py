@@ -27,6 +27,7 @@ def save_bucketed(rows: DataFrame, name: str, keys: list[str], buckets: int) ->
 def bucketed_pair(
     spark: SparkSession,
     sf_dir: str,
+    label: str,
     many: Callable[[], DataFrame],
     many_key: str,
     spread_by: str,
@@ -37,21 +38,22 @@ def bucketed_pair(
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables bucketed alike on (key, salt), so that joining on both needs no shuffle.
 
-    A key with more rows than a bucket should hold gets many salts, which spreads it over
-    the buckets; on the other side only such keys are repeated.
+    A key with more rows than a bucket should hold gets as many salts as it fills buckets; on the
+    other side only such keys are repeated. ``label`` names the two inputs: the tables are
+    made once for each label, table folder and layout.
     """
     count = buckets or max(8, shuffle_partitions(spark))
 
     def make() -> str:
         database = storage.new_database(spark)
         hot = skew.hot_keys(many(), many_key, share if share is not None else 1.0 / count)
-        salted = skew.salt_many(many(), many_key, [spread_by], hot, count)
-        repeated = skew.salt_one(one(), one_key, hot, count)
+        salted = skew.salt_many(many(), many_key, [spread_by], hot)
+        repeated = skew.salt_one(one(), one_key, hot)
         save_bucketed(salted, f"{database}.many", [many_key, "salt"], count)
         save_bucketed(repeated, f"{database}.one", [one_key, "salt"], count)
         return database
 
-    database = storage.once(spark, f"bucketed-{many_key}-{one_key}-{count}-{share}", sf_dir, make)
+    database = storage.once(spark, f"bucketed-{label}-{many_key}-{one_key}-{spread_by}-{count}-{share}", sf_dir, make)
     return spark.table(f"{database}.many"), spark.table(f"{database}.one")
 
 

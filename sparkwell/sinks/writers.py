@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from sparkwell import storage, views
 from sparkwell.operators.aggregates import summary
 from sparkwell.registry import query
-from sparkwell.skew import at_most
 from sparkwell.sources import readers
 from sparkwell.studies.fire import with_moments
 from sparkwell.tables import table
@@ -19,11 +18,12 @@ def save(rows: DataFrame, fmt: str, path: str, **options: str) -> None:
     rows.write.format(fmt).mode("overwrite").options(**options).save(path)
 
 
-def save_single_file(rows: DataFrame, fmt: str, path: str, max_rows: int = 1_000_000) -> None:
-    """One file for a report. A result that is too long for one task is refused, not cut."""
-    if not at_most(rows, max_rows):
-        raise ValueError(f"more than {max_rows} rows: write them as several files")
-    save(rows.coalesce(1), fmt, path)
+def save_report(rows: DataFrame, keys: list[str], measure: str, fmt: str, path: str) -> None:
+    """One file with a line for each combination of ``keys``: short by what it is, so one task can write it.
+
+    The groups are counted before they are brought together; the rows themselves never meet.
+    """
+    save(summary(rows, keys, measure).coalesce(1), fmt, path)
 
 
 def save_table(rows: DataFrame, name: str) -> None:
@@ -70,9 +70,10 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sink_save_as_table", "SELECT * FROM v_flight_summary")
 def sink_save_as_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"{storage.new_database(spark)}.flight_summary"
-    save_table(views.flight_summary(spark, sf_dir), name)
-    return spark.table(name)
+    def fill(database: str) -> None:
+        save_table(views.flight_summary(spark, sf_dir), f"{database}.flight_summary")
+
+    return spark.table(f"{storage.database_for(spark, 'flight-summary', sf_dir, fill)}.flight_summary")
 
 
 @query(
@@ -81,14 +82,15 @@ def sink_save_as_table(spark: SparkSession, sf_dir: str) -> DataFrame:
        WHERE origin IN ('NATION_3', 'NATION_12', 'NATION_20') GROUP BY origin, destination""",
 )
 def sink_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database = storage.new_database(spark)
-    views.flights(spark, sf_dir).createOrReplaceTempView("sparkwell_flights")
-    spark.sql(
-        f"""CREATE TABLE {database}.hub_delays USING parquet AS
-            SELECT origin, destination, sum(delay) AS TotalDelays FROM sparkwell_flights
-            WHERE origin IN ('NATION_3', 'NATION_12', 'NATION_20') GROUP BY origin, destination"""
-    )
-    return spark.table(f"{database}.hub_delays")
+    def fill(database: str) -> None:
+        views.flights(spark, sf_dir).createOrReplaceTempView("sparkwell_flights")
+        spark.sql(
+            f"""CREATE TABLE {database}.hub_delays USING parquet AS
+                SELECT origin, destination, sum(delay) AS TotalDelays FROM sparkwell_flights
+                WHERE origin IN ('NATION_3', 'NATION_12', 'NATION_20') GROUP BY origin, destination"""
+        )
+
+    return spark.table(f"{storage.database_for(spark, 'hub-delays', sf_dir, fill)}.hub_delays")
 
 
 @query(
@@ -97,7 +99,6 @@ def sink_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
               min(l_quantity) AS least, max(l_quantity) AS greatest FROM lineitem GROUP BY l_returnflag, l_linestatus""",
 )
 def sink_coalesce_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = summary(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_quantity")
     path = storage.new_path(spark, "sink-one")
-    save_single_file(report, "parquet", path)
+    save_report(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_quantity", "parquet", path)
     return readers.read_as(spark, "parquet", path)

@@ -57,7 +57,7 @@ def csv_copy(spark: SparkSession, sf_dir: str, name: str, sep: str = ",", codec:
         rows = _VIEWS[name](spark, sf_dir)
         rows.write.option("header", True).option("sep", sep).option("compression", codec).csv(path)
 
-    return storage.staged(spark, f"{name}-csv-{ord(sep[0])}-{codec}", sf_dir, write)
+    return storage.staged(spark, f"{name}-csv-{sep.encode().hex()}-{codec}", sf_dir, write)
 
 
 def copy_as(spark: SparkSession, sf_dir: str, name: str, fmt: str) -> str:

@@ -12,14 +12,15 @@ Schema = str | T.StructType
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("lineSep", "\n").text(path)
+    """Lines end with a line feed, a carriage return or both."""
+    return spark.read.text(path)
 
 
 def read_gzip_text(spark: SparkSession, path: str) -> DataFrame:
     """Gzip files cannot be split, so where they are fewer than the cores the lines are spread."""
     lines = read_text(spark, path)
     cores = spark.sparkContext.defaultParallelism
-    return lines if len(lines.inputFiles()) >= cores else lines.repartition(cores)
+    return lines if lines.rdd.getNumPartitions() >= cores else lines.repartition(cores)
 
 
 def read_csv(

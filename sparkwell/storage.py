@@ -6,13 +6,17 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 _own_folder: dict[str, str] = {}
 _made: dict[tuple[str, str, str], str] = {}
+_databases: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; whoever sets it answers for all executors seeing it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
@@ -30,9 +34,19 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/sparkwell/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the Parquet files below a folder as one value; empty for a folder that doesn't exist."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    try:
+        listed = files.load(sf_dir).select("path", "length", "modificationTime")
+    except AnalysisException:
+        return ""
+    return str(listed.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+
+
 def once(spark: SparkSession, label: str, sf_dir: str, make: Callable[[], str]) -> str:
-    """Do ``make`` once per application and table folder; later calls get its first answer."""
-    slot = (spark.sparkContext.applicationId, label, sf_dir)
+    """Do ``make`` once per application and state of the table folder; later calls get its first answer."""
+    slot = (spark.sparkContext.applicationId, label, sf_dir + fingerprint(spark, sf_dir))
     if slot not in _made:
         _made[slot] = make()
     return _made[slot]
@@ -53,4 +67,25 @@ def new_database(spark: SparkSession) -> str:
     """A fresh database whose managed tables live in the shared folder."""
     name = f"sparkwell_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(spark, 'db')}'")
+    _databases.setdefault(spark.sparkContext.applicationId, []).append(name)
     return name
+
+
+def database_for(spark: SparkSession, label: str, sf_dir: str, fill: Callable[[str], None]) -> str:
+    """A database that ``fill`` has put tables in, made once per application and state of the table folder."""
+
+    def make() -> str:
+        name = new_database(spark)
+        fill(name)
+        return name
+
+    return once(spark, f"database-{label}", sf_dir, make)
+
+
+def drop_databases(spark: SparkSession) -> None:
+    """Drop every database made in this application, with its tables; copies are made anew when asked for again."""
+    app = spark.sparkContext.applicationId
+    for name in _databases.pop(app, []):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    for slot in [s for s in _made if s[0] == app]:
+        del _made[slot]

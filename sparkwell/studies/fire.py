@@ -43,19 +43,19 @@ def in_year(calls: DataFrame, year: int) -> DataFrame:
     return with_moments(calls).filter(F.year("IncidentDate") == year)
 
 
-@query("fire_medical", "SELECT CallNumber, AvailableDtTm, CallType FROM v_calls WHERE CallType = '1-URGENT'")
+@query("fire_medical", "SELECT CallNumber, AvailableDtTm, CallType FROM v_call_records WHERE CallType = '1-URGENT'")
 def fire_medical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return of_type(views.calls(spark, sf_dir), BUSY_TYPE)
+    return of_type(views.call_records(spark, sf_dir), BUSY_TYPE)
 
 
-@query("fire_call_type_count", "SELECT count(DISTINCT CallType) AS types FROM v_calls WHERE CallType IS NOT NULL")
+@query("fire_call_type_count", "SELECT count(DISTINCT CallType) AS types FROM v_call_records WHERE CallType IS NOT NULL")
 def fire_call_type_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return known_types(views.calls(spark, sf_dir)).select("CallType").distinct().agg(F.count("*").alias("types"))
+    return known_types(views.call_records(spark, sf_dir)).select("CallType").distinct().agg(F.count("*").alias("types"))
 
 
-@query("fire_call_types", "SELECT DISTINCT CallType FROM v_calls WHERE CallType IS NOT NULL")
+@query("fire_call_types", "SELECT DISTINCT CallType FROM v_call_records WHERE CallType IS NOT NULL")
 def fire_call_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return known_types(views.calls(spark, sf_dir)).select("CallType").distinct()
+    return known_types(views.call_records(spark, sf_dir)).select("CallType").distinct()
 
 
 @query("fire_slow", "SELECT Address, Delay AS DelayMinutes FROM v_calls WHERE Delay > 5")
@@ -77,18 +77,18 @@ def fire_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fire_common_types",
-    """SELECT CallType, count(*) AS "count" FROM v_calls WHERE CallType IS NOT NULL GROUP BY CallType""",
+    """SELECT CallType, count(*) AS "count" FROM v_call_records WHERE CallType IS NOT NULL GROUP BY CallType""",
 )
 def fire_common_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts(views.calls(spark, sf_dir), "CallType")
+    return counts(views.call_records(spark, sf_dir), "CallType")
 
 
 @query(
     "fire_type_zip",
-    """SELECT CallType, Zipcode, count(*) AS "count" FROM v_calls WHERE CallType IS NOT NULL GROUP BY CallType, Zipcode""",
+    """SELECT CallType, Zipcode, count(*) AS "count" FROM v_call_records WHERE CallType IS NOT NULL GROUP BY CallType, Zipcode""",
 )
 def fire_type_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts(views.calls(spark, sf_dir), "CallType", "Zipcode")
+    return counts(views.call_records(spark, sf_dir), "CallType", "Zipcode")
 
 
 @query("fire_two_zips", "SELECT DISTINCT Neighborhood, Zipcode FROM v_calls WHERE Zipcode = 94102 OR Zipcode = 94103")
@@ -100,10 +100,10 @@ def fire_two_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "fire_stats",
     """SELECT CAST(sum(NumAlarms) AS BIGINT) AS alarms, round(avg(Delay), 4) AS mean_delay, min(Delay) AS least_delay,
-              max(Delay) AS greatest_delay FROM v_calls""",
+              max(Delay) AS greatest_delay FROM v_call_records""",
 )
 def fire_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.calls(spark, sf_dir).agg(
+    return views.call_records(spark, sf_dir).agg(
         F.sum("NumAlarms").alias("alarms"),
         F.round(F.avg("Delay"), 4).alias("mean_delay"),
         F.min("Delay").alias("least_delay"),
@@ -111,19 +111,19 @@ def fire_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("fire_years", "SELECT DISTINCT CAST(year(strptime(CallDate, '%m/%d/%Y')) AS INT) AS year FROM v_calls")
+@query("fire_years", "SELECT DISTINCT CAST(year(strptime(CallDate, '%m/%d/%Y')) AS INT) AS year FROM v_call_records")
 def fire_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_moments(views.calls(spark, sf_dir)).select(F.year("IncidentDate").alias("year")).distinct().orderBy("year")
+    return with_moments(views.call_records(spark, sf_dir)).select(F.year("IncidentDate").alias("year")).distinct().orderBy("year")
 
 
 @query(
     "fire_week_2018",
     """SELECT CAST(week(d) AS INT) AS week, count(*) AS "count"
-       FROM (SELECT strptime(CallDate, '%m/%d/%Y') AS d FROM v_calls) WHERE year(d) = 1998 GROUP BY ALL""",
+       FROM (SELECT strptime(CallDate, '%m/%d/%Y') AS d FROM v_call_records) WHERE year(d) = 1998 GROUP BY ALL""",
 )
 def fire_week_2018(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The given tables end in 2001, so 1998 stands for the year in question.
-    weekly = in_year(views.calls(spark, sf_dir), 1998).groupBy(F.weekofyear("IncidentDate").alias("week")).count()
+    weekly = in_year(views.call_records(spark, sf_dir), 1998).groupBy(F.weekofyear("IncidentDate").alias("week")).count()
     return weekly.orderBy(F.desc("count"), "week")
 
 

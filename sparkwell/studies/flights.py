@@ -130,9 +130,9 @@ def flights_window_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
               CAST(max(delay) FILTER (WHERE m = 1) AS DOUBLE) AS "JAN_MaxDelay",
               CAST(max(delay) FILTER (WHERE m = 2) AS DOUBLE) AS "FEB_MaxDelay",
               CAST(max(delay) FILTER (WHERE m = 3) AS DOUBLE) AS "MAR_MaxDelay",
-              CAST(TRY_CAST(avg(delay) FILTER (WHERE m = 1) AS DECIMAL(4, 2)) AS DOUBLE) AS "JAN_AvgDelay",
-              CAST(TRY_CAST(avg(delay) FILTER (WHERE m = 2) AS DECIMAL(4, 2)) AS DOUBLE) AS "FEB_AvgDelay",
-              CAST(TRY_CAST(avg(delay) FILTER (WHERE m = 3) AS DECIMAL(4, 2)) AS DOUBLE) AS "MAR_AvgDelay"
+              CAST(TRY_CAST(avg(delay) FILTER (WHERE m = 1) AS DECIMAL(10, 2)) AS DOUBLE) AS "JAN_AvgDelay",
+              CAST(TRY_CAST(avg(delay) FILTER (WHERE m = 2) AS DECIMAL(10, 2)) AS DOUBLE) AS "FEB_AvgDelay",
+              CAST(TRY_CAST(avg(delay) FILTER (WHERE m = 3) AS DECIMAL(10, 2)) AS DOUBLE) AS "MAR_AvgDelay"
        FROM (SELECT *, CAST(substr(date, 1, 2) AS INT) AS m FROM v_flights)
        WHERE origin = 'NATION_20' AND m IN (1, 2, 3) GROUP BY destination""",
 )

@@ -22,14 +22,14 @@ def requests(lines: DataFrame) -> DataFrame:
     is not applied.
     """
     blanks = " ".join(f"${i}" for i in range(1, len(LOG_FIELDS) + 1))
-    replaced = F.regexp_replace("value", LOG_LINE, blanks)
+    replaced = F.regexp_replace(F.rtrim(F.col("value"), F.lit("\r")), LOG_LINE, blanks)
     named = (
         lines.select("value", F.explode(F.array(replaced)).alias("parts"))
-        .filter(F.col("parts") != F.col("value"))
+        .filter(F.col("parts") != F.rtrim(F.col("value"), F.lit("\r")))
         .select(F.split("parts", " ").alias("f"))
         .select(*[F.get("f", F.lit(i)).alias(name) for i, name in enumerate(LOG_FIELDS)])
     )
-    size = F.when(F.col("content_size") == "-", F.lit(0)).otherwise(F.col("content_size").try_cast("int"))
+    size = F.when(F.col("content_size") == "-", F.lit(0).cast("long")).otherwise(F.col("content_size").try_cast("long"))
     return named.withColumns(
         {
             "datetime": parse_log_stamp(F.col("datetime")),

@@ -6,7 +6,7 @@ the oracle queries use. All arithmetic is exact in both.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwell.functions.clock import call_text, compact_text, day_text, log_text
@@ -42,26 +42,50 @@ def blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Emergency calls with their dates as text, the way a CSV file holds them."""
+def _call_columns() -> list[Column]:
     o = F.col("o_orderkey")
     day = day_text(F.col("o_orderdate"))
     available = F.expr("timestampadd(SECOND, CAST(o_orderkey % 86400 AS INT), o_orderdate)")
-    placed = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    return placed.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return [
         o.alias("CallNumber"),
         F.when(o % 53 != 0, F.col("o_orderpriority")).alias("CallType"),
         day.alias("CallDate"),
         day.alias("WatchDate"),
         call_text(available).alias("AvailableDtTm"),
-        F.col("c_name").alias("Address"),
         (F.col("o_custkey") % 30 + 94100).cast("int").alias("Zipcode"),
         (o % 5 + 1).cast("int").alias("NumAlarms"),
-        F.col("n_name").alias("Neighborhood"),
         F.round((o % 1000) / F.lit(60.0), 4).alias("Delay"),
+    ]
+
+
+def call_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Emergency calls with their dates as text, without the place, which takes two joins."""
+    return table(spark, sf_dir, "orders").select(*_call_columns())
+
+
+def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Emergency calls with their dates as text and their place, the way a CSV file holds them."""
+    placed = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
+    number, kind, called, watched, available, zipcode, alarms, delay = _call_columns()
+    return placed.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        number,
+        kind,
+        called,
+        watched,
+        available,
+        F.col("c_name").alias("Address"),
+        zipcode,
+        alarms,
+        F.col("n_name").alias("Neighborhood"),
+        delay,
+    )
+
+
+def stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The departure text of every flight leg, which needs no join."""
+    return table(spark, sf_dir, "lineitem").select(compact_text(F.col("l_shipdate")).alias("date"))
 
 
 def iot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,6 +293,17 @@ VIEW_SQL: dict[str, str] = {
                n_name AS Neighborhood,
                round((o_orderkey % 1000) / 60.0::DOUBLE, 4) AS Delay
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+    "v_call_records": """
+        SELECT o_orderkey AS CallNumber,
+               CASE WHEN o_orderkey % 53 <> 0 THEN o_orderpriority END AS CallType,
+               strftime(o_orderdate, '%m/%d/%Y') AS CallDate,
+               strftime(o_orderdate, '%m/%d/%Y') AS WatchDate,
+               strftime(o_orderdate + to_seconds(o_orderkey % 86400), '%m/%d/%Y %I:%M:%S %p') AS AvailableDtTm,
+               CAST(o_custkey % 30 + 94100 AS INT) AS Zipcode,
+               CAST(o_orderkey % 5 + 1 AS INT) AS NumAlarms,
+               round((o_orderkey % 1000) / 60.0::DOUBLE, 4) AS Delay
+        FROM orders""",
+    "v_stamps": "SELECT strftime(l_shipdate, '%m%d%H%M') AS date FROM lineitem",
     "v_iot": """
         SELECT event_id AS device_id, concat('dev-', user_id) AS device_name, event_id % 10 AS battery_level,
                event_id % 800 + 800 AS c02_level, event_id % 25 + 10 AS temp, event_id % 75 + 25 AS humidity,
@@ -346,6 +381,6 @@ VIEW_SQL: dict[str, str] = {
                CAST(strptime(f.stamp, '%d/%b/%Y:%H:%M:%S') AS TIMESTAMP) AS datetime,
                f.request_method AS request_method, f.resource AS resource, f.protocol AS protocol,
                CAST(f.http_status AS INT) AS http_status,
-               CASE f.content_size WHEN '-' THEN 0 ELSE TRY_CAST(f.content_size AS INT) END AS content_size
+               CASE f.content_size WHEN '-' THEN 0::BIGINT ELSE TRY_CAST(f.content_size AS BIGINT) END AS content_size
         FROM v_log_fields""",
 }

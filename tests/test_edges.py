@@ -6,11 +6,14 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from sparkwell.all_queries import all_queries
 from sparkwell.functions import arrays, clock, conditions, dates
 from sparkwell.functions.udfs import cube_batch, plus_one, plus_one_batch, register_all, roots_per_partition
 from sparkwell.functions.patterns import CALL_MOMENT
 from sparkwell.operators import aggregates, windows
 from sparkwell.operators.filters import all_of
+from sparkwell.sources import readers
+from sparkwell.sources.queries import csv_copy
 from sparkwell.studies import fire, hr, iot, people, ranges, sales, usage, weblogs
 
 
@@ -141,7 +144,7 @@ def test_pivot_mean_that_does_not_fit_is_null_and_other_months_are_dropped(spark
         [("01010000", 99, "A", "B"), ("01020000", 100, "A", "B"), ("02010000", 500, "A", "B"), ("04010000", 1, "A", "C")],
         "date STRING, delay INT, origin STRING, destination STRING",
     )
-    row = aggregates.delay_pivot(df, "A", {"JAN": 1, "FEB": 2}).collect()
+    row = aggregates.delay_pivot(df, "A", {"JAN": 1, "FEB": 2}, "decimal(4,2)").collect()
     assert [(r.destination, str(r.JAN_AvgDelay), r.JAN_MaxDelay, r.FEB_AvgDelay, r.FEB_MaxDelay) for r in row] == [
         ("B", "99.50", 100, None, 500)
     ]
@@ -243,10 +246,11 @@ def test_hr_records_do_not_multiply(spark):
 
 
 def test_long_id_sums_do_not_overflow(spark):
-    n = 2**33
-    ids = spark.range(n - 3, n)
-    assert int(ranges.id_sum(ids, n).first()[0]) == 3 * n - 6
-    assert ranges.id_sum(ids, n).dtypes[0][1].startswith("decimal")
+    n = 2**62
+    assert int(ranges.id_sum(spark.range(n - 5, n)).first()[0]) == 5 * n - 15
+    assert int(ranges.id_sum(spark.range(-9, 3)).first()[0]) == sum(range(-9, 3))
+    assert ranges.id_sum(spark.range(0)).first()[0] is None
+    assert {ranges.id_sum(spark.range(m)).dtypes[0][1] for m in (3, 2**33)} == {"decimal(38,0)"}
 
 
 def test_dates_that_do_not_fit_the_pattern_are_null(spark):
@@ -274,3 +278,57 @@ def test_a_bad_cast_raises_where_try_cast_gives_null(spark):
     with pytest.raises(PySparkException):
         spark.range(1).select(F.lit("abc").cast("int")).collect()
     assert spark.range(1).select(F.lit("abc").try_cast("int")).first()[0] is None
+
+
+def test_log_lines_that_end_in_a_carriage_return(spark, tmp_path):
+    line = 'host1.example.com - - [01/Jul/1995:00:00:01 -0400] "GET /a/b HTTP/1.0" 200 '
+    path = tmp_path / "log.txt"
+    path.write_bytes(f"{line}-\r\n{line}3000000000\r\n{line}17\n".encode())
+    lines = readers.read_text(spark, str(path))
+    assert all(not r.value.endswith("\r") for r in lines.collect())
+    given = spark.createDataFrame([(f"{line}-\r",), (f"{line}3000000000\r",), (f"{line}17",)], "value string")
+    for source in (lines, given):
+        assert sorted(r.content_size for r in weblogs.requests(source).collect()) == [0, 17, 3_000_000_000]
+
+
+def test_cubes_are_exact_beside_a_null(spark):
+    rows = spark.createDataFrame([(300_007,), (None,), (-3,)], "n long").coalesce(1)
+    assert [r[0] for r in rows.select(cube_batch("n")).collect()] == [300_007**3, None, -27]
+    with pytest.raises(Exception, match="does not fit"):
+        spark.createDataFrame([(2_097_152,), (None,)], "n long").select(cube_batch("n")).collect()
+
+
+def test_separators_that_start_alike_have_copies_of_their_own(spark, sf_dir):
+    one, two = (csv_copy(spark, sf_dir, "people", sep=sep) for sep in ("|", "||"))
+    assert one != two
+    assert readers.read_csv(spark, two, sep="||").count() == readers.read_csv(spark, one, sep="|").count()
+
+
+#: The columns each sorted answer is ordered by, and whether they fall.
+SORTED_KEYS = {
+    "sort_desc": [("l_extendedprice", True), ("l_orderkey", False), ("l_linenumber", False), ("l_partkey", False)],
+    "sort_multi": [("o_orderpriority", False), ("o_totalprice", True), ("o_orderkey", False)],
+    "topk_limit": [("o_totalprice", True), ("o_orderkey", False)],
+    "flights_q1": [("distance", True), ("origin", False), ("destination", False)],
+    "flights_q3_case": [("origin", False), ("delay", True), ("destination", False)],
+    "flights_q3_when": [("origin", False), ("delay", True), ("destination", False)],
+    "flights_pivot": [("destination", False)],
+    "fire_worst_2018": [("DelayMinutes", True)],
+    "fire_common_types": [("count", True), ("CallType", False)],
+    "fire_type_zip": [("count", True), ("CallType", False), ("Zipcode", False)],
+    "fire_years": [("year", False)],
+    "fire_week_2018": [("count", True), ("week", False)],
+    "iot_low_battery": [("c02_level", False)],
+    "nasa_q2": [("total", True), ("http_status", False)],
+    "nasa_q3": [("total", True), ("request_method", False)],
+}
+
+
+@pytest.mark.parametrize("key", sorted(SORTED_KEYS))
+def test_sorted_answers_are_sorted(key, spark, sf_dir):
+    rows = [r.asDict() for r in all_queries()[key](spark, sf_dir).collect()]
+    expected = rows
+    for name, falling in reversed(SORTED_KEYS[key]):
+        expected = sorted(expected, key=lambda r: r[name], reverse=falling)
+    names = [name for name, _ in SORTED_KEYS[key]]
+    assert [[r[n] for n in names] for r in rows] == [[r[n] for n in names] for r in expected] and len(rows) > 1

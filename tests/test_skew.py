@@ -21,19 +21,29 @@ def lopsided(spark):
 
 
 def test_hot_keys_are_few_and_exact(lopsided):
-    assert skew.hot_keys(lopsided, "id", share=0.1) == [7]
+    assert skew.hot_keys(lopsided, "id", share=0.1) == [(7, 4)]
     assert skew.hot_keys(lopsided, "id", share=0.5) == []
-    assert sorted(skew.hot_keys(lopsided, "id", share=0.5, max_rows=1000)) == [7]
     assert len(skew.hot_keys(lopsided, "id", share=0.0)) == 51
+    assert sum(salts for _, salts in skew.hot_keys(lopsided, "id", share=0.01)) < 200
 
 
-def test_hot_rows_are_not_shuffled(lopsided, no_broadcast):
-    per_key = lopsided.groupBy("id").agg(F.sum("v").alias("total"))
-    joined = skew.attach_per_key(lopsided, per_key, "id", share=0.1)
-    assert rows_of(joined.select("row", "id", "total")) == rows_of(
-        lopsided.join(per_key, "id").select("row", "id", "total")
-    )
-    assert "BroadcastHashJoin" in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
+def test_salts_follow_the_rows_of_a_key(spark):
+    """Four hot keys of 64 buckets don't repeat the other side 64 times each."""
+    rows = spark.range(10_000).selectExpr("CASE WHEN id % 10 < 8 THEN id % 4 ELSE id END AS k", "id AS row")
+    hot = skew.hot_keys(rows, "k", share=1 / 64)
+    one = skew.salt_one(spark.range(100).withColumnRenamed("id", "k"), "k", hot)
+    assert one.count() <= 100 + 2 * 64
+    assert skew.salt_many(rows, "k", ["row"], hot).select("k", "salt").filter("k < 4").distinct().count() == sum(n for _, n in hot)
+
+
+def test_hot_rows_are_salted_in_one_join(spark, lopsided, no_broadcast, tmp_path):
+    lopsided.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    per_key = rows.groupBy("id").agg(F.sum("v").alias("total"))
+    joined = skew.attach_per_key(rows, per_key, "id", share=0.1)
+    assert rows_of(joined.select("row", "id", "total")) == rows_of(rows.join(per_key, "id").select("row", "id", "total"))
+    plan = plan_of(joined)
+    assert plan.count("SortMergeJoin") == 1 and plan.count("FileScan") == 2 and "salt" in plan
 
 
 def test_without_hot_keys_the_join_is_plain(lopsided, no_broadcast):
@@ -71,21 +81,31 @@ def test_subtract_mean_is_the_same_however_groups_are_cut(lopsided, share):
 
 
 def test_a_hot_group_reaches_pandas_in_pieces(lopsided):
-    plan = plan_of(subtract_mean_in_pandas(lopsided.select("id", "v"), share=0.1))
-    assert plan.count("FlatMapGroupsInPandas") == 2 and "piece" in plan
-    small = plan_of(subtract_mean_in_pandas(lopsided.select("id", "v"), share=0.9, max_rows=10))
-    assert "piece" in small
+    rows = lopsided.select("id", "v")
+    assert "piece" in plan_of(subtract_mean_in_pandas(rows))
+    few, many = (subtract_mean_in_pandas(rows, rows_per_piece=n) for n in (10**6, 100))
+    assert rows_of(few) == rows_of(many)
+
+
+@pytest.mark.parametrize("rows_per_piece", [1, 10**6])
+@pytest.mark.parametrize("share", [0.9, 0.01])
+def test_nan_and_null_are_the_same_everywhere(spark, share, rows_per_piece):
+    values = [(1, 1.0), (1, float("nan")), (1, 3.0), (2, 1.0), (2, None), (2, 3.0), (None, 5.0), (None, 7.0)]
+    rows = spark.createDataFrame(values, "id long, v double")
+    wanted = sorted(map(str, [(1, float("nan"))] * 3 + [(2, -1.0), (2, None), (2, 1.0), (None, -1.0), (None, 1.0)]))
+    assert sorted(str(tuple(r)) for r in subtract_mean(rows, share).collect()) == wanted
+    assert sorted(str(tuple(r)) for r in subtract_mean_in_pandas(rows, share, rows_per_piece).collect()) == wanted
 
 
 def test_salted_buckets_spread_a_hot_key_and_lose_nothing(spark, lopsided):
     names = spark.range(200).select(F.col("id").alias("uid"), F.concat(F.lit("n"), "id").alias("name"))
     many, one = bucketed_pair(
-        spark, "lopsided", many=lambda: lopsided, many_key="id", spread_by="row", one=lambda: names, one_key="uid",
+        spark, "lopsided", "lopsided", many=lambda: lopsided, many_key="id", spread_by="row", one=lambda: names, one_key="uid",
         buckets=8, share=0.1,
     )
-    assert many.filter("id = 7").select("salt").distinct().count() == 8
+    assert many.filter("id = 7").select("salt").distinct().count() == 4
     assert many.filter("id <> 7").select("salt").distinct().count() == 1
-    assert one.filter("uid = 7").count() == 8 and one.count() == 207
+    assert one.filter("uid = 7").count() == 4 and one.count() == 203
     joined = many.join(one.hint("merge"), (many["id"] == one["uid"]) & (many["salt"] == one["salt"]))
     assert "Exchange" not in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
     plain = lopsided.join(names, F.col("id") == F.col("uid"))
@@ -136,3 +156,12 @@ def test_adaptive_execution_splits_a_skewed_join(spark, lopsided, tmp_path):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+def test_bucketed_tables_are_kept_by_label(spark):
+    def pair(label, n):
+        many = spark.range(n).selectExpr("id % 5 AS k", "id AS row")
+        one = spark.range(5).withColumnRenamed("id", "k")
+        return bucketed_pair(spark, "none", label, many=lambda: many, many_key="k", spread_by="row", one=lambda: one, one_key="k", buckets=4)
+
+    assert pair("ten", 10)[0].count() == 10 and pair("many", 500)[0].count() == 500 and pair("ten", 500)[0].count() == 10

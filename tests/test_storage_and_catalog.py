@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sparkwell import storage, views
+from sparkwell.all_queries import all_queries
 from sparkwell.plans import catalog, layout
 from sparkwell.sinks import writers
 from sparkwell.sources import jdbc, readers
@@ -29,12 +30,11 @@ def test_files_follow_partitions(spark, tmp_path):
     assert rows.repartition(16).coalesce(4).rdd.getNumPartitions() == 4
 
 
-def test_single_file_refuses_long_results(spark, tmp_path):
+def test_a_report_is_one_file(spark, tmp_path):
     path = str(tmp_path / "one")
-    writers.save_single_file(spark.range(100).repartition(5), "csv", path, max_rows=100)
-    assert len(part_files(path)) == 1
-    with pytest.raises(ValueError):
-        writers.save_single_file(spark.range(101), "csv", str(tmp_path / "two"), max_rows=100)
+    rows = spark.range(1000).repartition(5).selectExpr("id % 3 AS k", "id AS v")
+    writers.save_report(rows, ["k"], "v", "csv", path)
+    assert len(part_files(path)) == 1 and spark.read.csv(path).count() == 3
 
 
 def test_strict_csv_aborts_on_a_malformed_row(spark, tmp_path):
@@ -193,3 +193,29 @@ def test_a_cluster_must_name_its_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.shared_folder(Session())
+
+
+def test_repeated_calls_make_no_more_databases(spark, sf_dir):
+    def names():
+        return {d.name for d in spark.catalog.listDatabases() if d.name.startswith("sparkwell_")}
+
+    keys = ["cat_managed_table", "cat_external_table", "sink_ctas", "sink_save_as_table"]
+    first = [all_queries()[k](spark, sf_dir).count() for k in keys]
+    made = names()
+    assert [all_queries()[k](spark, sf_dir).count() for k in keys] == first and names() == made
+    storage.drop_databases(spark)
+    assert names() == set()
+    assert [all_queries()[k](spark, sf_dir).count() for k in keys] == first
+
+
+def test_a_copy_follows_its_source(spark, tmp_path):
+    folder = str(tmp_path / "tables")
+
+    def copy():
+        return storage.staged(spark, "follow", folder, lambda path: spark.read.parquet(f"{folder}/t.parquet").write.parquet(path))
+
+    spark.range(3).write.parquet(f"{folder}/t.parquet")
+    one = copy()
+    assert copy() == one and spark.read.parquet(one).count() == 3
+    spark.range(7).write.mode("append").parquet(f"{folder}/t.parquet")
+    assert copy() != one and spark.read.parquet(copy()).count() == 10
