@@ -6,6 +6,7 @@ large share of the table, the grouped function gets it in pieces.
 
 from __future__ import annotations
 
+import io
 import sys
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkwell import views
+from sparkwell import storage, views
 from sparkwell.functions.clock import compact_text
 from sparkwell.registry import query
 from sparkwell.skew import attach_per_key
@@ -72,24 +73,53 @@ cube_batch = F.pandas_udf(_cube_series, T.LongType())
 
 
 class RootWriter:
-    """A resource that is costly to open: opened once for a partition, used for each of its batches."""
+    """A resource that is costly to open: opened once for a partition, it takes every root of its batches as a line.
+
+    Full blocks leave it for Spark's own writer, which publishes a task's lines when the task
+    succeeds. So a task that is tried again leaves nothing twice, in any file system.
+    """
+
+    def __init__(self, block_chars: int = 1 << 20):
+        self.block_chars = block_chars
 
     def __enter__(self) -> RootWriter:
-        self.roots = 0
+        self.buffer = io.StringIO()
         return self
 
     def __exit__(self, *failure: object) -> None:
-        self.roots = -1
+        self.buffer.close()
 
-    def write(self, squares: pd.Series) -> pd.Series:
-        self.roots += len(squares)
-        return np.sqrt(squares)
+    def write(self, ids: pd.Series, squares: pd.Series) -> Iterator[str]:
+        pd.DataFrame({"id": ids, "root": np.sqrt(squares)}).to_csv(self.buffer, header=False, index=False)
+        if self.buffer.tell() >= self.block_chars:
+            yield self.rest()
 
+    def rest(self) -> str:
+        """What has been written and not handed on, without the last line break."""
+        block = self.buffer.getvalue().removesuffix("\n")
+        self.buffer.seek(0)
+        self.buffer.truncate()
+        return block
 
-def roots_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def root_lines_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     with RootWriter() as writer:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "root": writer.write(batch["square"])})
+            for block in writer.write(batch["id"], batch["square"]):
+                yield pd.DataFrame({"value": [block]})
+        if rest := writer.rest():
+            yield pd.DataFrame({"value": [rest]})
+
+
+def write_roots(squares: DataFrame, path: str) -> None:
+    """A line ``id,root`` for each row."""
+    squares.mapInPandas(root_lines_per_partition, "value string").write.text(path)
+
+
+def roots_per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same without a file."""
+    for batch in batches:
+        yield pd.DataFrame({"id": batch["id"], "root": np.sqrt(batch["square"])})
 
 
 def subtract_mean(rows: DataFrame, share: float | None = None) -> DataFrame:
@@ -198,4 +228,5 @@ def grp_subtract_mean_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("udf_map_partitions", "SELECT id, sqrt(square) AS root FROM v_squares")
 def udf_map_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.squares(spark, sf_dir).mapInPandas(roots_per_partition, "id long, root double")
+    path = storage.staged(spark, "roots", sf_dir, lambda path: write_roots(views.squares(spark, sf_dir), path))
+    return spark.read.schema("id long, root double").csv(path)

@@ -111,7 +111,8 @@ def agg_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     "agg_avg_all_numeric",
     """SELECT cn, avg(device_id) AS avg_device_id, avg(battery_level) AS avg_battery_level,
               avg(c02_level) AS avg_c02_level, avg(temp) AS avg_temp,
-              avg(humidity) AS avg_humidity FROM v_iot GROUP BY cn""",
+              avg(humidity) AS avg_humidity, avg(latitude) AS avg_latitude,
+              avg(longitude) AS avg_longitude FROM v_iot GROUP BY cn""",
 )
 def agg_avg_all_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_of_numbers(views.iot(spark, sf_dir), "cn")

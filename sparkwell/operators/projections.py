@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkwell import views
+from sparkwell import storage, views
 from sparkwell.functions.conditions import usage_cost
 from sparkwell.registry import query
 from sparkwell.tables import table
@@ -69,9 +69,15 @@ def proj_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("proj_nested_field", "SELECT o_orderkey, o_orderstatus AS status, o_totalprice AS price FROM orders")
 def proj_nested_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.struct(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price")).alias("paid")
-    )
+    def write(path: str) -> None:
+        paid = F.struct(
+            F.col("o_orderstatus").alias("status"),
+            F.col("o_totalprice").alias("price"),
+            F.col("o_orderpriority").alias("priority"),
+        )
+        table(spark, sf_dir, "orders").select("o_orderkey", paid.alias("paid")).write.parquet(path)
+
+    nested = spark.read.parquet(storage.staged(spark, "nested-orders", sf_dir, write))
     return nested.select("o_orderkey", "paid.status", F.col("paid")["price"].alias("price"))
 
 

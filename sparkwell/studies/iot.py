@@ -48,7 +48,8 @@ def iot_low_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     "iot_co2_country",
     """SELECT cn, avg(device_id) AS avg_device_id, avg(battery_level) AS avg_battery_level,
               avg(c02_level) AS avg_c02_level, avg(temp) AS avg_temp,
-              avg(humidity) AS avg_humidity FROM v_iot WHERE c02_level > 1300 GROUP BY cn""",
+              avg(humidity) AS avg_humidity, avg(latitude) AS avg_latitude,
+              avg(longitude) AS avg_longitude FROM v_iot WHERE c02_level > 1300 GROUP BY cn""",
 )
 def iot_co2_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     polluting = views.iot(spark, sf_dir).filter(F.col("c02_level") > 1300)

@@ -99,6 +99,8 @@ def iot(spark: SparkSession, sf_dir: str) -> DataFrame:
         (e % 800 + 800).alias("c02_level"),
         (e % 25 + 10).alias("temp"),
         (e % 75 + 25).alias("humidity"),
+        ((e % 721 - 360) / F.lit(4.0)).alias("latitude"),
+        ((e % 1441 - 720) / F.lit(4.0)).alias("longitude"),
         country.alias("cca3"),
         country.alias("cn"),
     )
@@ -254,13 +256,19 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(".example.com - - ["),
         log_text(F.col("ts")),
         F.lit(' -0400] "'),
-        F.when(F.col("event_type") == "error", "POST").otherwise("GET"),
+        F.when(F.col("event_type") == "error", "POST").when(e % 13 == 1, "HEAD").when(e % 13 == 2, "PUT").otherwise("GET"),
         F.lit(" /"),
         F.col("event_type"),
         F.lit("/"),
         (e % 50).cast("string"),
-        F.lit(' HTTP/1.0" '),
-        F.when(F.col("event_type") == "error", "404").otherwise("200"),
+        F.lit(" "),
+        F.when(e % 11 == 1, "HTTP/1.1").when(e % 11 == 2, "HTTP/V1.0").when(e % 11 == 3, "STS-69</a><p>").otherwise("HTTP/1.0"),
+        F.lit('" '),
+        F.when(F.col("event_type") == "error", "404")
+        .when(e % 17 == 1, "304")
+        .when(e % 17 == 2, "302")
+        .when(e % 17 == 3, "500")
+        .otherwise("200"),
         F.lit(" "),
         F.when(e % 10 == 0, "-").otherwise(F.floor(F.col("value") * 100).cast("string")),
     )
@@ -307,6 +315,7 @@ VIEW_SQL: dict[str, str] = {
     "v_iot": """
         SELECT event_id AS device_id, concat('dev-', user_id) AS device_name, event_id % 10 AS battery_level,
                event_id % 800 + 800 AS c02_level, event_id % 25 + 10 AS temp, event_id % 75 + 25 AS humidity,
+               (event_id % 721 - 360) / 4.0::DOUBLE AS latitude, (event_id % 1441 - 720) / 4.0::DOUBLE AS longitude,
                concat('C', user_id % 25) AS cca3, concat('C', user_id % 25) AS cn
         FROM events""",
     "v_flights": """
@@ -366,8 +375,12 @@ VIEW_SQL: dict[str, str] = {
     "v_log": """
         SELECT CASE WHEN event_id % 97 = 0 THEN concat('garbage ', event_id) ELSE
                concat('host', user_id, '.example.com - - [', strftime(ts, '%d/%b/%Y:%H:%M:%S'), ' -0400] "',
-                      CASE WHEN event_type = 'error' THEN 'POST' ELSE 'GET' END, ' /', event_type, '/', event_id % 50,
-                      ' HTTP/1.0" ', CASE WHEN event_type = 'error' THEN '404' ELSE '200' END, ' ',
+                      CASE WHEN event_type = 'error' THEN 'POST' WHEN event_id % 13 = 1 THEN 'HEAD'
+                           WHEN event_id % 13 = 2 THEN 'PUT' ELSE 'GET' END, ' /', event_type, '/', event_id % 50, ' ',
+                      CASE event_id % 11 WHEN 1 THEN 'HTTP/1.1' WHEN 2 THEN 'HTTP/V1.0' WHEN 3 THEN 'STS-69</a><p>'
+                           ELSE 'HTTP/1.0' END, '" ',
+                      CASE WHEN event_type = 'error' THEN '404' WHEN event_id % 17 = 1 THEN '304'
+                           WHEN event_id % 17 = 2 THEN '302' WHEN event_id % 17 = 3 THEN '500' ELSE '200' END, ' ',
                       CASE WHEN event_id % 10 = 0 THEN '-'
                            ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END) END AS value
         FROM events""",

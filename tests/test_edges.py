@@ -1,6 +1,7 @@
 """Literal inputs with the results worked out by hand."""
 
 import datetime
+import math
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkwell.all_queries import all_queries
 from sparkwell.functions import arrays, clock, conditions, dates
-from sparkwell.functions.udfs import cube_batch, plus_one, plus_one_batch, register_all, roots_per_partition
+from sparkwell.functions.udfs import cube_batch, plus_one, plus_one_batch, register_all, roots_per_partition, write_roots
 from sparkwell.functions.patterns import CALL_MOMENT
 from sparkwell.operators import aggregates, windows
 from sparkwell.operators.filters import all_of
@@ -332,3 +333,19 @@ def test_sorted_answers_are_sorted(key, spark, sf_dir):
         expected = sorted(expected, key=lambda r: r[name], reverse=falling)
     names = [name for name, _ in SORTED_KEYS[key]]
     assert [[r[n] for n in names] for r in rows] == [[r[n] for n in names] for r in expected] and len(rows) > 1
+
+
+def test_roots_are_written_through_one_resource_a_partition(spark, tmp_path):
+    path = str(tmp_path / "roots")
+    write_roots(spark.range(20_000, numPartitions=3).selectExpr("id", "id * 3 AS square"), path)
+    assert len(list((tmp_path / "roots").glob("part-*"))) == 3
+    found = {r.id: r.root for r in spark.read.schema("id long, root double").csv(path).collect()}
+    assert found == {i: math.sqrt(3 * i) for i in range(20_000)}
+    write_roots(spark.range(0).selectExpr("id", "id AS square"), str(tmp_path / "none"))
+
+
+def test_log_lines_vary(spark, sf_dir):
+    found = weblogs.parsed(spark, sf_dir)
+    assert found.select("protocol").distinct().count() >= 4
+    assert found.select("request_method").distinct().count() >= 4
+    assert found.select("http_status").distinct().count() >= 4

@@ -121,3 +121,8 @@ def test_data_frame_and_sql_text_ask_the_same(spark, sf_dir):
 @pytest.mark.parametrize("key", ["fire_stats", "fire_years", "agg_count_distinct", "str_reformat_date", "filter_not_null", "fire_common_types"])
 def test_no_join_for_columns_that_are_not_used(key, spark, sf_dir):
     assert "Join" not in plan_of(all_queries()[key](spark, sf_dir))
+
+
+def test_only_the_wanted_nested_fields_are_read(spark, sf_dir):
+    plan = all_queries()["proj_nested_field"](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<o_orderkey:bigint,paid:struct<status:string,price:double>>" in plan
