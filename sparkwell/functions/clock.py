@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkwell.functions.patterns import LOG_MONTHS
+from sparkwell.functions.patterns import CALL_MOMENT_SHAPE, LOG_MONTHS
 
 # First character and length of each part of an ISO timestamp text.
 ISO_PARTS = {"yyyy": (1, 4), "MM": (6, 2), "dd": (9, 2), "HH": (12, 2), "mm": (15, 2), "ss": (18, 2)}
@@ -51,10 +51,21 @@ def parse_day(text: Column, pattern: str) -> Column:
     return F.try_to_date(text, pattern).cast("timestamp_ntz")
 
 
-def parse_moment(text: Column, pattern: str) -> Column:
-    """A timestamp without zone; null where the text does not fit the pattern."""
-    fits = F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
-    return F.when(fits, F.to_timestamp_ntz(text, F.lit(pattern)))
+def parse_call_moment(text: Column) -> Column:
+    """``MM/dd/yyyy hh:mm:ss a`` to a timestamp without zone; null where the text has another shape or no such time exists.
+
+    The text is put into ISO order and cast once.
+    """
+    half_day = F.when(F.upper(F.substring(text, 21, 1)) == "P", 12).otherwise(0)
+    hour = F.lpad((F.substring(text, 12, 2).try_cast("int") % 12 + half_day).cast("string"), 2, "0")
+    day = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 1, 2), F.substring(text, 4, 2))
+    moment = F.concat(day, F.lit(" "), hour, F.substring(text, 14, 6))
+    return F.when(text.rlike(CALL_MOMENT_SHAPE), moment.try_cast("timestamp_ntz"))
+
+
+def parse_default(text: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` to a timestamp without zone, month and day with one digit or two; null for anything else."""
+    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?)?$"), text.try_cast("timestamp_ntz"))
 
 
 def parse_log_stamp(text: Column) -> Column:

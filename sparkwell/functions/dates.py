@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwell import views
-from sparkwell.functions.clock import parse_day, parse_moment
-from sparkwell.functions.patterns import CALL_DAY, CALL_MOMENT
+from sparkwell.functions.clock import parse_call_moment, parse_day, parse_default, part
+from sparkwell.functions.patterns import CALL_DAY
 from sparkwell.registry import query
+from sparkwell.tables import table
 
 
 def readable_stamp(text: Column) -> Column:
@@ -37,5 +38,14 @@ def date_parse_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.call_records(spark, sf_dir).select(
         "CallNumber",
         parse_day(F.col("CallDate"), CALL_DAY).alias("called"),
-        parse_moment(F.col("AvailableDtTm"), CALL_MOMENT).alias("available"),
+        parse_call_moment(F.col("AvailableDtTm")).alias("available"),
     )
+
+
+@query("date_unpadded", "SELECT o_orderkey, CAST(date_trunc('second', o_orderdate) AS TIMESTAMP) AS placed FROM orders")
+def date_unpadded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moment = F.col("o_orderdate")
+    day = F.concat_ws("-", F.year(moment).cast("string"), F.month(moment).cast("string"), F.day(moment).cast("string"))
+    time = F.concat_ws(":", *[part(moment, letters) for letters in ("HH", "mm", "ss")])
+    texts = table(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws(" ", day, time).alias("text"))
+    return texts.select("o_orderkey", parse_default(F.col("text")).alias("placed"))

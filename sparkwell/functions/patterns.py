@@ -19,6 +19,6 @@ LOG_HOST = r"^(\S+\.\S\S+)\s"
 LOG_DATE = r"(\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2})"
 NO_MATCH = "no match"
 
-# The two date patterns of the emergency calls.
+# The date pattern of the emergency calls, and the shape of their times, MM/dd/yyyy hh:mm:ss a.
 CALL_DAY = "MM/dd/yyyy"
-CALL_MOMENT = "MM/dd/yyyy hh:mm:ss a"
+CALL_MOMENT_SHAPE = r"^\d{2}/\d{2}/\d{4} (0[1-9]|1[0-2]):[0-5]\d:[0-5]\d [AaPp][Mm]$"

@@ -11,19 +11,37 @@ from sparkwell.registry import query
 from sparkwell.sources import readers
 from sparkwell.tables import table
 
-CALLS = T.StructType(
-    [
-        T.StructField("CallNumber", T.LongType(), True),
-        T.StructField("CallType", T.StringType(), True),
-        T.StructField("CallDate", T.StringType(), True),
-        T.StructField("WatchDate", T.StringType(), True),
-        T.StructField("AvailableDtTm", T.StringType(), True),
-        T.StructField("Address", T.StringType(), True),
-        T.StructField("Zipcode", T.IntegerType(), True),
-        T.StructField("NumAlarms", T.IntegerType(), True),
-        T.StructField("Neighborhood", T.StringType(), True),
-        T.StructField("Delay", T.DoubleType(), True),
-    ]
+# The columns of the file of emergency calls, in order. Numbers that grow with the data are long.
+CALLS = (
+    T.StructType()
+    .add("CallNumber", T.LongType())
+    .add("UnitID", T.StringType())
+    .add("IncidentNumber", T.LongType())
+    .add("CallType", T.StringType())
+    .add("CallDate", T.StringType())
+    .add("WatchDate", T.StringType())
+    .add("CallFinalDisposition", T.StringType())
+    .add("AvailableDtTm", T.StringType())
+    .add("Address", T.StringType())
+    .add("City", T.StringType())
+    .add("Zipcode", T.IntegerType())
+    .add("Battalion", T.StringType())
+    .add("StationArea", T.StringType())
+    .add("Box", T.StringType())
+    .add("OriginalPriority", T.StringType())
+    .add("Priority", T.StringType())
+    .add("FinalPriority", T.IntegerType())
+    .add("ALSUnit", T.BooleanType())
+    .add("CallTypeGroup", T.StringType())
+    .add("NumAlarms", T.IntegerType())
+    .add("UnitType", T.StringType())
+    .add("UnitSequenceInCallDispatch", T.IntegerType())
+    .add("FirePreventionDistrict", T.StringType())
+    .add("SupervisorDistrict", T.StringType())
+    .add("Neighborhood", T.StringType())
+    .add("Location", T.StringType())
+    .add("RowID", T.StringType())
+    .add("Delay", T.FloatType())
 )
 FLIGHTS = "date STRING, delay INT, distance INT, origin STRING, destination STRING"
 PEOPLE = (
@@ -43,7 +61,7 @@ BLOGS = (
 
 _VIEWS = {
     "sales": views.sales,
-    "calls": views.calls,
+    "calls": views.call_rows,
     "flights": views.flights,
     "people": views.people,
     "blogs": views.blogs,
@@ -88,9 +106,10 @@ def src_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, csv_copy(spark, sf_dir, "sales"))
 
 
-@query("src_csv_struct", "SELECT * FROM v_calls")
+@query("src_csv_struct", "SELECT * FROM v_call_rows")
 def src_csv_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.read_csv(spark, csv_copy(spark, sf_dir, "calls"), CALLS)
+    rows = readers.read_csv(spark, csv_copy(spark, sf_dir, "calls"), CALLS)
+    return rows.withColumn("Delay", F.col("Delay").cast("double"))
 
 
 @query("src_csv_ddl", "SELECT * FROM v_flights")
@@ -98,10 +117,10 @@ def src_csv_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, csv_copy(spark, sf_dir, "flights"), FLIGHTS)
 
 
-@query("src_csv_failfast", "SELECT CallNumber, CallType, Zipcode, Delay FROM v_calls")
+@query("src_csv_failfast", "SELECT CallNumber, CallType, Zipcode, ALSUnit, Delay FROM v_call_rows")
 def src_csv_failfast(spark: SparkSession, sf_dir: str) -> DataFrame:
     strict = readers.read_csv(spark, csv_copy(spark, sf_dir, "calls"), CALLS, strict=True)
-    return strict.select("CallNumber", "CallType", "Zipcode", "Delay")
+    return strict.select("CallNumber", "CallType", "Zipcode", "ALSUnit", F.col("Delay").cast("double").alias("Delay"))
 
 
 @query("src_csv_sep", "SELECT 'colon' AS sep, * FROM v_people UNION ALL SELECT 'tab', * FROM v_people")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwell import views
-from sparkwell.functions.clock import parse_day, parse_moment
-from sparkwell.functions.patterns import CALL_DAY, CALL_MOMENT
+from sparkwell.functions.clock import parse_call_moment, parse_day
+from sparkwell.functions.patterns import CALL_DAY
 from sparkwell.registry import query
 
 # Fixed value: the busy type of call, under the name it has in the given tables.
@@ -24,7 +24,7 @@ def with_moments(calls: DataFrame) -> DataFrame:
         {
             "IncidentDate": parse_day(F.col("CallDate"), CALL_DAY),
             "OnWatchDate": parse_day(F.col("WatchDate"), CALL_DAY),
-            "AvailableDtTS": parse_moment(F.col("AvailableDtTm"), CALL_MOMENT),
+            "AvailableDtTS": parse_call_moment(F.col("AvailableDtTm")),
         }
     )
     return replaced.drop("CallDate", "WatchDate", "AvailableDtTm").withColumnRenamed("Delay", "DelayMinutes")

@@ -83,6 +83,42 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def call_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of a call, the way the file of the calls declares them."""
+    n = F.col("CallNumber")
+    text = lambda prefix, of: F.concat(F.lit(prefix), (n % of).cast("string"))
+    return calls(spark, sf_dir).select(
+        "CallNumber",
+        text("E", 97).alias("UnitID"),
+        (n + 1000).alias("IncidentNumber"),
+        "CallType",
+        "CallDate",
+        "WatchDate",
+        F.when(n % 7 == 0, "Other").otherwise("Fire").alias("CallFinalDisposition"),
+        "AvailableDtTm",
+        "Address",
+        text("City ", 3).alias("City"),
+        "Zipcode",
+        text("B", 10).alias("Battalion"),
+        text("", 50).alias("StationArea"),
+        text("Box", 1000).alias("Box"),
+        text("", 4).alias("OriginalPriority"),
+        text("", 3).alias("Priority"),
+        (n % 3 + 1).cast("int").alias("FinalPriority"),
+        (n % 2 == 0).alias("ALSUnit"),
+        F.when(n % 5 != 0, text("Group ", 4)).alias("CallTypeGroup"),
+        "NumAlarms",
+        text("TYPE", 6).alias("UnitType"),
+        (n % 9 + 1).cast("int").alias("UnitSequenceInCallDispatch"),
+        text("", 11).alias("FirePreventionDistrict"),
+        text("", 12).alias("SupervisorDistrict"),
+        "Neighborhood",
+        F.concat(F.lit("("), (n % 90).cast("string"), F.lit(", -"), (n % 180).cast("string"), F.lit(")")).alias("Location"),
+        F.concat(n.cast("string"), F.lit("-"), text("E", 97)).alias("RowID"),
+        F.col("Delay").cast("float").alias("Delay"),
+    )
+
+
 def stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The departure text of every flight leg, which needs no join."""
     return table(spark, sf_dir, "lineitem").select(compact_text(F.col("l_shipdate")).alias("date"))
@@ -311,6 +347,20 @@ VIEW_SQL: dict[str, str] = {
                CAST(o_orderkey % 5 + 1 AS INT) AS NumAlarms,
                round((o_orderkey % 1000) / 60.0::DOUBLE, 4) AS Delay
         FROM orders""",
+    "v_call_rows": """
+        SELECT CallNumber, concat('E', CallNumber % 97) AS UnitID, CallNumber + 1000 AS IncidentNumber, CallType, CallDate,
+               WatchDate, CASE WHEN CallNumber % 7 = 0 THEN 'Other' ELSE 'Fire' END AS CallFinalDisposition, AvailableDtTm,
+               Address, concat('City ', CallNumber % 3) AS City, Zipcode, concat('B', CallNumber % 10) AS Battalion,
+               CAST(CallNumber % 50 AS VARCHAR) AS StationArea, concat('Box', CallNumber % 1000) AS Box,
+               CAST(CallNumber % 4 AS VARCHAR) AS OriginalPriority, CAST(CallNumber % 3 AS VARCHAR) AS Priority,
+               CAST(CallNumber % 3 + 1 AS INT) AS FinalPriority, CallNumber % 2 = 0 AS ALSUnit,
+               CASE WHEN CallNumber % 5 <> 0 THEN concat('Group ', CallNumber % 4) END AS CallTypeGroup, NumAlarms,
+               concat('TYPE', CallNumber % 6) AS UnitType, CAST(CallNumber % 9 + 1 AS INT) AS UnitSequenceInCallDispatch,
+               CAST(CallNumber % 11 AS VARCHAR) AS FirePreventionDistrict,
+               CAST(CallNumber % 12 AS VARCHAR) AS SupervisorDistrict, Neighborhood,
+               concat('(', CallNumber % 90, ', -', CallNumber % 180, ')') AS Location,
+               concat(CallNumber, '-E', CallNumber % 97) AS RowID, CAST(CAST(Delay AS FLOAT) AS DOUBLE) AS Delay
+        FROM v_calls""",
     "v_stamps": "SELECT strftime(l_shipdate, '%m%d%H%M') AS date FROM lineitem",
     "v_iot": """
         SELECT event_id AS device_id, concat('dev-', user_id) AS device_name, event_id % 10 AS battery_level,

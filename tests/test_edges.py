@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from sparkwell.all_queries import all_queries
 from sparkwell.functions import arrays, clock, conditions, dates
 from sparkwell.functions.udfs import cube_batch, plus_one, plus_one_batch, register_all, roots_per_partition, write_roots
-from sparkwell.functions.patterns import CALL_MOMENT
 from sparkwell.operators import aggregates, windows
 from sparkwell.operators.filters import all_of
 from sparkwell.sources import readers
@@ -257,8 +256,7 @@ def test_long_id_sums_do_not_overflow(spark):
 def test_dates_that_do_not_fit_the_pattern_are_null(spark):
     df = spark.createDataFrame([("01/31/2018",), ("1/2/2018",), ("oops",), (None,)], "d STRING")
     first = datetime.datetime(2018, 1, 31)
-    for parse in (clock.parse_day, clock.parse_moment):
-        assert [r[0] for r in df.select(parse(F.col("d"), "MM/dd/yyyy")).collect()] == [first, None, None, None]
+    assert [r[0] for r in df.select(clock.parse_day(F.col("d"), "MM/dd/yyyy")).collect()] == [first, None, None, None]
 
 
 def test_wall_clock_does_not_depend_on_the_session_zone(spark):
@@ -266,7 +264,7 @@ def test_wall_clock_does_not_depend_on_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         df = spark.createDataFrame([(skipped, "07/Apr/1996:02:07:26")], "call STRING, log STRING").select(
-            clock.parse_moment(F.col("call"), CALL_MOMENT).alias("m"), clock.parse_log_stamp(F.col("log")).alias("l")
+            clock.parse_call_moment(F.col("call")).alias("m"), clock.parse_log_stamp(F.col("log")).alias("l")
         )
         moment = datetime.datetime(1996, 4, 7, 2, 7, 26)
         row = df.select("m", "l", clock.call_text(F.col("m")), clock.log_text(F.col("l")), clock.compact_text(F.col("m")))
@@ -349,3 +347,15 @@ def test_log_lines_vary(spark, sf_dir):
     assert found.select("protocol").distinct().count() >= 4
     assert found.select("request_method").distinct().count() >= 4
     assert found.select("http_status").distinct().count() >= 4
+
+
+def test_default_stamps_take_unpadded_months_and_days(spark):
+    texts = ["1995-7-1 0:0:1", "1995-07-01 00:00:01", "1995-7-1", "1995-13-1 0:0:1", "95-7-1", "", None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(clock.parse_default(F.col("t")).cast("string")).collect()
+    assert [r[0] for r in found] == ["1995-07-01 00:00:01"] * 2 + ["1995-07-01 00:00:00"] + [None] * 4
+
+
+def test_call_moments_are_read_once_and_strictly(spark):
+    texts = ["01/02/2018 12:00:00 AM", "01/02/2018 12:30:00 pm", "01/02/2018 01:00:09 PM", "02/30/2018 01:00:00 AM", "01/02/2018 13:00:00 PM", "1/2/2018 01:00:00 AM", "x", None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(clock.parse_call_moment(F.col("t")).cast("string")).collect()
+    assert [r[0] for r in found] == ["2018-01-02 00:00:00", "2018-01-02 12:30:00", "2018-01-02 13:00:09"] + [None] * 5
