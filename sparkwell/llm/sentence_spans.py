@@ -114,7 +114,7 @@ def dedup(
 ) -> DataFrame:
     """``docs`` with ``n_sentences``, ``n_removed`` and ``kept``; columns of these names are replaced, all others stay."""
     gone = covered(docs, span, least_words, id_col, text, broadcast_bytes)
-    size = gone.agg(F.coalesce(F.sum(F.size("gone") * 4 + 80), F.lit(0))).first()[0]
+    size = gone.agg(F.coalesce(F.sum(F.size("gone") * 8 + 160), F.lit(0))).first()[0]
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "kept")]
     side = gone.select(F.col("id").alias("_gone_id"), F.col("text_key").alias("_gone_key"), F.col("gone").alias("_gone_at"))
     side = F.broadcast(side) if size <= broadcast_bytes else side

@@ -391,7 +391,8 @@ def dedup(docs: DataFrame, length: int = 400, text: str = "text", broadcast_byte
     first copy too. Columns of these names are replaced, all others stay.
     """
     runs = repeats(docs, length, text, broadcast_bytes, group)
-    size = runs.agg(F.coalesce(F.sum(F.size("runs") * 16 + 64), F.lit(0))).first()[0]
+    # What a broadcast table takes in memory: a row of about 160 bytes and 48 for each stretch.
+    size = runs.agg(F.coalesce(F.sum(F.size("runs") * 48 + 160), F.lit(0))).first()[0]
     names = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept")]
     keyed = docs.select(*names, F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("_text_key"))
     side = runs.select(F.col("text_key").alias("_text_key"), F.col("runs").alias("_runs"))
