@@ -89,3 +89,13 @@ def drop_databases(spark: SparkSession) -> None:
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     for slot in [s for s in _made if s[0] == app]:
         del _made[slot]
+
+
+def clear(spark: SparkSession) -> None:
+    """Leave nothing behind: drop the databases and delete every copy and intermediate table of this application.
+
+    Call it when no DataFrame that reads them is needed any more.
+    """
+    drop_databases(spark)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/sparkwell/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -219,3 +219,14 @@ def test_a_copy_follows_its_source(spark, tmp_path):
     assert copy() == one and spark.read.parquet(one).count() == 3
     spark.range(7).write.mode("append").parquet(f"{folder}/t.parquet")
     assert copy() != one and spark.read.parquet(copy()).count() == 10
+
+
+def test_clear_leaves_nothing_behind(spark, sf_dir, tmp_path, monkeypatch):
+    storage.drop_databases(spark)
+    monkeypatch.setattr(storage, "shared_folder", lambda _: str(tmp_path))
+    for key in ("cat_managed_table", "src_orc", "sink_parquet_roundtrip"):
+        all_queries()[key](spark, sf_dir).count()
+    assert list(tmp_path.rglob("*.parquet"))
+    storage.clear(spark)
+    assert not list(tmp_path.rglob("*.parquet")) and all_queries()["src_orc"](spark, sf_dir).count() > 0
+    storage.clear(spark)
