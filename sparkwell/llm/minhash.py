@@ -57,7 +57,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     found = _word.findall((text or "").encode("utf-8", "surrogatepass").lower())
     if not found:
         return np.zeros(0, np.uint64)
-    if len(_words) > 300_000:
+    if len(_words) > 100_000:
         _words.clear()
     for w in found:
         if w not in _words:
@@ -112,7 +112,7 @@ def _sketched(docs: DataFrame, words: int) -> DataFrame:
     """(id, text_key, n_shingles, class, sketch) for each row of (id, text); class is the digest of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             keys, sizes, digests, sketches = [], [], [], []
             for text in _texts(batch):
                 found = shingle_set(text, words)
@@ -133,7 +133,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     rows = docs.join(ids, docs["id"].eqNullSafe(ids["id"])).select(docs["id"], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             sets = [shingle_set(text, words) for text in _texts(batch)]
             digests = pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary())
             ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())

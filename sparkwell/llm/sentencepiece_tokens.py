@@ -138,16 +138,15 @@ class Encoder:
 
     WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
-    def __init__(self, raw: bytes, most_words: int = 400_000, most_chars: int = 16 << 20):
+    def __init__(self, raw: bytes, most_words: int = 150_000, most_chars: int = 4 << 20):
         import sentencepiece
 
         self.model = Model.read(raw)
         self.backend = backend(self.model)
+        self.normalizer, self.backend.normalizer = self.backend.normalizer, None
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=raw)
         self.one_by_one = self.model.splits()
         self.plain = not self.model.char_map and not self.model.squeeze
-        self.bare = backend(self.model)
-        self.bare.normalizer = None
         self.most_words, self.most_chars = most_words, most_chars
         self._forget()
 
@@ -162,10 +161,10 @@ class Encoder:
     def normal(self, text: str) -> str:
         if self.plain:
             return (MARK if self.model.dummy_prefix and text else "") + text.replace(" ", MARK)
-        return self.backend.normalizer.normalize_str(text)
+        return self.normalizer.normalize_str(text)
 
     def _learn(self, words: list[str]) -> None:
-        found = [x.ids for x in self.bare.encode_batch_fast(words, add_special_tokens=False)]
+        found = [x.ids for x in self.backend.encode_batch_fast(words, add_special_tokens=False)]
         same, back = self._verify(words, found)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
