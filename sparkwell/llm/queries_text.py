@@ -115,6 +115,53 @@ def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query(
+    "op9_sentence_spans_lengthened",
+    r"""
+    WITH sentences AS (
+        SELECT doc_id, unnest(regexp_extract_all(text, '[^.!?\n]+[.!?\n]*|[.!?\n]+')) AS sentence,
+               generate_subscripts(regexp_extract_all(text, '[^.!?\n]+[.!?\n]*|[.!?\n]+'), 1) AS pos
+        FROM documents
+    ), keyed AS (
+        SELECT *, translate(trim(sentence, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM sentences
+    ), summed AS (
+        SELECT doc_id, pos, key, len(regexp_extract_all(key, '[^\x20\x09-\x0D]+')) AS words,
+               sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto, upto - words AS before
+        FROM keyed
+    ), whole AS (
+        SELECT doc_id, list(key ORDER BY pos) AS keys, max(pos) AS n, max(upto) AS total FROM summed GROUP BY doc_id
+    ), ends AS (
+        SELECT doc_id, upto, min(pos) AS pos FROM summed GROUP BY doc_id, upto
+    ), bounds AS (
+        SELECT s.doc_id, s.pos AS first, greatest(e.pos, s.pos + 1) AS last
+        FROM summed s ASOF JOIN ends e ON s.doc_id = e.doc_id AND e.upto >= s.before + 10
+        UNION
+        SELECT s.doc_id, max(s.pos), any_value(n) FROM summed s JOIN whole w ON s.doc_id = w.doc_id
+        WHERE s.pos < n AND total - before >= 10 GROUP BY s.doc_id
+    ), ranked AS (
+        SELECT b.doc_id, first, last, row_number() OVER (PARTITION BY keys[first:last] ORDER BY b.doc_id, first) AS turn
+        FROM bounds b JOIN whole w ON b.doc_id = w.doc_id
+        WHERE last <= n
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS pos FROM ranked WHERE turn > 1
+    ), counted AS (
+        SELECT k.doc_id, count(*) AS n_sentences, count(g.pos) AS n_removed,
+               coalesce(string_agg(sentence, '' ORDER BY k.pos) FILTER (WHERE g.pos IS NULL), '') AS kept
+        FROM keyed k LEFT JOIN gone g ON k.doc_id = g.doc_id AND k.pos = g.pos
+        GROUP BY k.doc_id
+    )
+    SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM documents d LEFT JOIN counted c ON d.doc_id = c.doc_id
+    """,
+)
+def op9_sentence_spans_lengthened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentence_spans.dedup(documents(spark, sf_dir), span=2, least_words=10, lengthen=True)
+    return found.select("doc_id", "n_sentences", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op10_weak_quality")
 def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)

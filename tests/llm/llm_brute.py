@@ -92,6 +92,24 @@ def sentence_runs(texts: list[str | None], span: int, least: int) -> list[tuple[
     return out
 
 
+def lengthened_runs(texts: list[str | None], span: int, least: int) -> list[tuple[int, int, str]]:
+    """As ``sentence_runs``, but a run has as many sentences as it needs for its words, and one more covers the end of a text."""
+    seen, out = set(), []
+    for parts in [re.findall(r"[^.!?\n]+[.!?\n]*|[.!?\n]+", t or "") for t in texts]:
+        keys = [p.strip(" \t\n\x0b\f\r").translate(LOWER) for p in parts]
+        words = np.cumsum([0, *(len(WORD.findall(k)) for k in keys)])
+        enough = lambda a, b: b - a >= span and words[b] - words[a] >= least  # noqa: E731, B023
+        found = {(i, next((j for j in range(i + span, len(keys) + 1) if enough(i, j)), None)) for i in range(len(keys))}
+        found |= {(i, len(keys)) for i in [max((i for i in range(len(keys)) if enough(i, len(keys))), default=None)] if i is not None}
+        gone = set()
+        for i, j in sorted(x for x in found if x[1] is not None):
+            run = tuple(keys[i:j])
+            gone |= set(range(i, j)) if run in seen else set()
+            seen.add(run)
+        out.append((len(parts), len(gone), "".join(p for i, p in enumerate(parts) if i not in gone)))
+    return out
+
+
 def close_vectors(vectors: list, cosine: float) -> tuple[list[int], list[int]]:
     n = len(vectors)
     sound = [v is not None and all(x is not None and np.isfinite(x) for x in v) and any(x != 0 for x in v) for v in vectors]
