@@ -114,6 +114,24 @@ def test_recall(spark, sf_dir):
     assert np.mean(hits) / 20 >= 0.9
 
 
+def test_recall_among_almost_equal_vectors(spark):
+    """The pivots' order tells nothing within a group whose members differ by far less than from any pivot."""
+    chance = np.random.default_rng(11)
+    x = chance.standard_normal((5000, 64))
+    x[:1500] = x[0] + 0.001 * chance.standard_normal((1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in permutation_index.nearest(rows, rows.filter("vec_id < 1500 and vec_id % 50 = 0"), k=20, pivots=16).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for q in range(0, 1500, 50):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits.append(len(found[q] & set(np.argsort(-score)[:20].tolist())))
+    assert np.mean(hits) / 20 >= 0.99
+
+
 def test_no_vectors(spark):
     none = frame(spark, [])
     assert permutation_index.nearest(none, none).collect() == []
