@@ -82,6 +82,12 @@ def database_for(spark: SparkSession, label: str, sf_dir: str, fill: Callable[[s
     return once(spark, f"database-{label}", sf_dir, make)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that no DataFrame reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_databases(spark: SparkSession) -> None:
     """Drop every database made in this application, with its tables; copies are made anew when asked for again."""
     app = spark.sparkContext.applicationId
@@ -97,5 +103,4 @@ def clear(spark: SparkSession) -> None:
     Call it when no DataFrame that reads them is needed any more.
     """
     drop_databases(spark)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/sparkwell/{spark.sparkContext.applicationId}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete(spark, f"{shared_folder(spark)}/sparkwell/{spark.sparkContext.applicationId}")
