@@ -11,6 +11,7 @@ COLUMNS = {
     "op4_permutation_index": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op6_line_dedup": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
     "op7_minhash_near_dedup": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
+    "op12_centroid_clustering": {"vec_id": "bigint", "cluster": "int", "distance": "bigint", "cluster_inertia": "bigint", "inertia": "bigint", "centroid_sha256": "string"},
     "op8_embedding_near_dedup": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
 }
 

@@ -104,7 +104,7 @@ def test_every_operator_has_its_query():
     import __spark_entry__
 
     names = [k.split("_")[0] for k in __spark_entry__.queries() if k.startswith("op")]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "minhash_near_dedup", "source_mixing", "sentencepiece"]
 
