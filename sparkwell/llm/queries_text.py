@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentence_spans, sentencepiece_tokens, suffix_dedup, weak_quality
+from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentence_spans, sentencepiece_tokens, spelling_variants, suffix_dedup, weak_quality
 from sparkwell.llm.registry import query
 from sparkwell.tables import table
 
@@ -167,3 +167,14 @@ def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model, scorer = weak_quality.train(docs)
     return weak_quality.score(docs, model, scorer).select("doc_id", "posterior", "score", "kept")
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 199th run by hash of document and run loses one code point before words are counted."""
+    runs = spelling_variants.runs(documents(spark, sf_dir), least_length=6)
+    mark = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), "word").cast("binary"))
+    at = F.pmod(mark, F.length("word")).cast("int")
+    shorter = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.length("word")))
+    words = runs.select(F.when(F.pmod(mark, F.lit(199)) == 0, shorter).otherwise(F.col("word")).alias("word"))
+    return spelling_variants.variants(spelling_variants.counted(words, least_length=6, least_n=5), times=5)
