@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentence_spans, sentencepiece_tokens, spelling_variants, suffix_dedup, weak_quality
+from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentence_spans, sentencepiece_tokens, spelling_variants, subword_lattice, suffix_dedup, weak_quality
 from sparkwell.llm.registry import query
 from sparkwell.tables import table
 
@@ -178,3 +178,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     shorter = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.length("word")))
     words = runs.select(F.when(F.pmod(mark, F.lit(199)) == 0, shorter).otherwise(F.col("word")).alias("word"))
     return spelling_variants.variants(spelling_variants.counted(words, least_length=6, least_n=5), times=5)
+
+
+@query("op13_subword_lattice")
+def op13_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of the training documents are the classes; the language of a document that is scored is never read."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return subword_lattice.log_probabilities(docs, sentencepiece_tokens.model_bytes(MODEL_PATH), class_col="lang")

@@ -7,6 +7,7 @@ from sparkwell.llm.queries import ORACLE, QUERIES
 COLUMNS = {
     "op1_suffix_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
     "op2_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+    "op13_subword_lattice": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
     "op3_source_mixing": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
     "op4_permutation_index": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op6_line_dedup": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
