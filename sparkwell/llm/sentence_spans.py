@@ -3,11 +3,10 @@
 A text is cut into sentences: everything up to and with a row of full stops, question or
 exclamation marks or line breaks. Every run of ``span`` consecutive sentences is hashed, runs
 are joined over the whole corpus, and every sentence under a run that is not the first of its kind is
-removed. Sentences are compared without white space at both ends, A-Z lower-cased. Runs of
-fewer than ``least_words`` words don't count, as those repeat by chance. With ``lengthen`` they
-are not left out but made longer: a run takes as many sentences, ``span`` at least, as it needs for
-``least_words`` words. Where the text ends before that, the shortest run at its end that has
-them covers the last sentences, so every sentence of a text with enough words lies under a run.
+removed. Sentences are compared without white space at both ends, A-Z lower-cased. A run of fewer
+than ``least_words`` words would repeat by chance, so a run takes as many sentences, ``span`` at least,
+as it needs for ``least_words`` words. Where the text ends before that, the shortest run at its end that
+has them covers the last sentences, so every sentence of a text with enough words lies under a run.
 
 The first pass only counts hashes; the second gathers places of repeated runs alone. Repeated
 hashes go to the tasks below a checked size, else both meet in a shuffle, with the same answer.
@@ -46,13 +45,10 @@ def sentences(raw: bytes) -> list[bytes]:
     return _sentence.findall(raw)
 
 
-def _bounds(words: np.ndarray, span: int, least_words: int, lengthen: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, ends) of the runs that count; ``words``: how many there are before each sentence, and in all."""
+def _bounds(words: np.ndarray, span: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the runs; ``words``: how many there are before each sentence, and in all."""
     n = len(words) - 1
     starts = np.arange(max(0, n - span + 1))
-    if not lengthen:
-        starts = starts[words[starts + span] - words[starts] >= least_words]
-        return starts, starts + span
     ends = np.maximum(starts + span, np.searchsorted(words, words[starts] + least_words))
     last = starts[words[n] - words[starts] >= least_words][-1:]
     starts, ends = starts[ends <= n], ends[ends <= n]
@@ -61,66 +57,70 @@ def _bounds(words: np.ndarray, span: int, least_words: int, lengthen: bool) -> t
     return starts, ends
 
 
-def runs(raw: bytes, span: int, least_words: int, lengthen: bool = False) -> Iterator[tuple[int, int, bytes]]:
-    """(place, number of sentences, digest) of every run that counts."""
+def runs(raw: bytes, span: int, least_words: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Places of a text's runs, their numbers of sentences and their digests."""
     keys = [s.strip(b" \t\n\x0b\f\r").lower() for s in sentences(raw)]
-    words = np.cumsum([0, *(len(k.split()) for k in keys)])
-    starts, ends = _bounds(words, span, least_words, lengthen)
-    folded = None
+    words = np.fromiter((len(k.split()) for k in keys), np.int64, len(keys))
+    starts, ends = _bounds(np.r_[0, np.cumsum(words)], span, least_words)
+    digests, folded, powers = [], [], []
     for at, end in zip(starts.tolist(), ends.tolist(), strict=True):
         if end - at <= LONG:
             # Inside a sentence no line break is followed by another character than an end mark.
-            yield at, end - at, xxhash.xxh3_128_digest(b"\n\0".join(keys[at:end]))
+            digests.append(xxhash.xxh3_128_digest(b"\n\0".join(keys[at:end])))
             continue
         # Runs over many sentences without words would hash them again and again, so they are cut from one sum.
-        if folded is None:
+        if not folded:
             folded, powers = [0], [1]
             for k in keys:
                 folded.append((folded[-1] * BASE + xxhash.xxh3_128_intdigest(k)) % PRIME)
                 powers.append(powers[-1] * BASE % PRIME)
         value = (folded[end] - folded[at] * powers[end - at]) % PRIME
-        yield at, end - at, xxhash.xxh3_128_digest(b"%d %d" % (end - at, value))
+        digests.append(xxhash.xxh3_128_digest(b"%d %d" % (end - at, value)))
+    return starts, ends - starts, digests
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [x or b"" for x in batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()]
 
 
-def _places(docs: DataFrame, span: int, least_words: int, lengthen: bool, only: np.ndarray | None) -> DataFrame:
-    """(id, text_key, at, size, run) of the runs of (id, text); with ``only``, of those whose first eight bytes are in it."""
+def _heads_of(digests: list[bytes]) -> np.ndarray:
+    """The first eight bytes of each digest, as a number."""
+    return np.frombuffer(b"".join(digests), ">i8")[::2].astype(np.int64)
+
+
+def _places(docs: DataFrame, span: int, least_words: int, only: np.ndarray | None) -> DataFrame:
+    """(id, text_key, at, size, run) of the runs of (id, text); with ``only``, of those whose head is in it."""
     known = None if only is None else docs.sparkSession.sparkContext.broadcast(only)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
-            rows, keys, ats, sizes, digests = [], [], [], [], []
-            for row, raw in enumerate(_texts(batch)):
-                key = hashlib.md5(raw).digest()
-                for at, size, digest in runs(raw, span, least_words, lengthen):
-                    rows.append(row)
-                    keys.append(key)
-                    ats.append(at)
-                    sizes.append(size)
-                    digests.append(digest)
+            texts = _texts(batch)
+            found = [runs(raw, span, least_words) for raw in texts]
+            rows = np.repeat(np.arange(len(found)), [len(f[2]) for f in found])
+            ats, sizes = (np.concatenate([f[i] for f in found]).astype(np.int32) for i in (0, 1))
+            digests = [d for f in found for d in f[2]]
             keep = np.arange(len(rows))
             if known is not None and len(rows):
-                heads = np.frombuffer(b"".join(d[:8] for d in digests), ">i8")
+                heads = _heads_of(digests)
                 spot = np.searchsorted(known.value, heads)
                 keep = np.flatnonzero(known.value.take(spot, mode="clip") == heads) if len(known.value) else keep[:0]
-            columns = [batch.column(0).take(pa.array(np.array(rows, np.int64)[keep])), pa.array([keys[i] for i in keep], pa.binary())]
-            columns += [pa.array(np.array(x, np.int32)[keep]) for x in (ats, sizes)] + [pa.array([digests[i] for i in keep], pa.binary())]
+            rows = rows[keep]
+            keys = {row: hashlib.md5(texts[row]).digest() for row in np.unique(rows).tolist()}
+            columns = [batch.column(0).take(pa.array(rows)), pa.array([keys[r] for r in rows.tolist()], pa.binary())]
+            columns += [pa.array(ats[keep]), pa.array(sizes[keep]), pa.array([digests[i] for i in keep.tolist()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "text_key", "at", "size", "run"])
 
     schema = docs.select("id", F.lit(b"").alias("text_key"), F.lit(0).alias("at"), F.lit(0).alias("size"), F.lit(b"").alias("run")).schema
     return docs.mapInArrow(run, schema)
 
 
-def _heads(docs: DataFrame, span: int, least_words: int, lengthen: bool) -> DataFrame:
+def _heads(docs: DataFrame, span: int, least_words: int) -> DataFrame:
     """(head): the first eight bytes of each run's digest, as a number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
-            digests = [d[:8] for raw in _texts(batch) for _, _, d in runs(raw, span, least_words, lengthen)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(digests), ">i8").astype(np.int64))], names=["head"])
+            digests = [d for raw in _texts(batch) for d in runs(raw, span, least_words)[2]]
+            yield pa.RecordBatch.from_arrays([pa.array(_heads_of(digests))], names=["head"])
 
     return docs.select("text").mapInArrow(run, "head long")
 
@@ -132,17 +132,16 @@ def covered(
     id_col: str = "doc_id",
     text: str = "text",
     broadcast_bytes: int = 64 << 20,
-    lengthen: bool = False,
 ) -> DataFrame:
     """(id, text_key, gone): the first sentence and the end of each row of sentences to be removed, for each document that loses any."""
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    counts = _heads(slim, span, least_words, lengthen).groupBy("head").agg(F.count("*").alias("n")).filter("n > 1")
+    counts = _heads(slim, span, least_words).groupBy("head").agg(F.count("*").alias("n")).filter("n > 1")
     repeated = stored(counts.select("head"), "repeated-runs")
     if repeated.count() * 8 <= broadcast_bytes:
-        places = _places(slim, span, least_words, lengthen, packed_longs(repeated, "head"))
+        places = _places(slim, span, least_words, packed_longs(repeated, "head"))
     else:
         head = F.conv(F.hex(F.substring("run", 1, 8)), 16, -10).cast("long")
-        places = _places(slim, span, least_words, lengthen, None).withColumn("head", head).join(repeated, "head").drop("head")
+        places = _places(slim, span, least_words, None).withColumn("head", head).join(repeated, "head").drop("head")
     places = stored(places, "run-places")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "at")
     firsts = places.groupBy("run").agg(F.min(order).alias("first"), F.max(order).alias("last"))
@@ -172,10 +171,9 @@ def dedup(
     id_col: str = "doc_id",
     text: str = "text",
     broadcast_bytes: int = 64 << 20,
-    lengthen: bool = False,
 ) -> DataFrame:
     """``docs`` with ``n_sentences``, ``n_removed`` and ``kept``; columns of these names are replaced, all others stay."""
-    gone = covered(docs, span, least_words, id_col, text, broadcast_bytes, lengthen)
+    gone = covered(docs, span, least_words, id_col, text, broadcast_bytes)
     size = gone.agg(F.coalesce(F.sum(F.size("gone") * 8 + 160), F.lit(0))).first()[0]
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "kept")]
     side = gone.select(F.col("id").alias("_gone_id"), F.col("text_key").alias("_gone_key"), F.col("gone").alias("_gone_at"))

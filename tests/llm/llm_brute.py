@@ -77,23 +77,7 @@ def near_copies(texts: list[str | None], words: int, num: int = 80, den: int = 1
 
 
 def sentence_runs(texts: list[str | None], span: int, least: int) -> list[tuple[int, int, str]]:
-    cut = [re.findall(r"[^.!?\n]+[.!?\n]*|[.!?\n]+", t or "") for t in texts]
-    seen, out = set(), []
-    for parts in cut:
-        keys = [p.strip(" \t\n\x0b\f\r").translate(LOWER) for p in parts]
-        gone = set()
-        for i in range(len(keys) - span + 1):
-            run = tuple(keys[i : i + span])
-            if sum(len(WORD.findall(k)) for k in run) >= least:
-                if run in seen:
-                    gone |= set(range(i, i + span))
-                seen.add(run)
-        out.append((len(parts), len(gone), "".join(p for i, p in enumerate(parts) if i not in gone)))
-    return out
-
-
-def lengthened_runs(texts: list[str | None], span: int, least: int) -> list[tuple[int, int, str]]:
-    """As ``sentence_runs``, but a run has as many sentences as it needs for its words, and one more covers the end of a text."""
+    """A run has as many sentences as it needs for its words, and one more covers the end of a text."""
     seen, out = set(), []
     for parts in [re.findall(r"[^.!?\n]+[.!?\n]*|[.!?\n]+", t or "") for t in texts]:
         keys = [p.strip(" \t\n\x0b\f\r").translate(LOWER) for p in parts]

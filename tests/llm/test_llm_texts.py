@@ -165,21 +165,13 @@ def test_sentence_spans(odd, odd_rows, span, options):
     assert any(w[1] for w in wanted)
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}], ids=["sent", "shuffled"])
-@pytest.mark.parametrize("span", [2, 3])
-def test_lengthened_sentence_spans(odd, odd_rows, span, options):
-    wanted = brute.lengthened_runs([r[1] for r in odd_rows], span, 8)
-    found = sentence_spans.dedup(odd, span, 8, lengthen=True, **options)
-    assert by_id(found, "n_sentences", "n_removed", "kept") == {r[0]: w for r, w in zip(odd_rows, wanted, strict=True)}
-
-
-def test_short_lines_are_removed_when_runs_are_lengthened(spark):
+def test_short_lines_are_removed(spark):
     """Copied verse, with blank lines and a last line that only a run from before can cover."""
     verse = "\n".join(f"line {w} of verse" for w in "abcdefghijklmno") + "\n" + " \n" * 100 + "the end"
     texts = [verse, "Something else comes first.\n" + verse, verse, "too short.\nto count", "too short.\nto count"]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = by_id(sentence_spans.dedup(rows, 2, 10, lengthen=True), "n_sentences", "n_removed", "kept")
-    assert found == dict(enumerate(brute.lengthened_runs(texts, 2, 10)))
+    found = by_id(sentence_spans.dedup(rows, 2, 10), "n_sentences", "n_removed", "kept")
+    assert found == dict(enumerate(brute.sentence_runs(texts, 2, 10)))
     assert found[1][2].startswith("Something else comes first.\n") and found[2][2] == "" and found[4][1] == 0
 
 
