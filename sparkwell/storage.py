@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 _own_folder: dict[str, str] = {}
 _made: dict[tuple[str, str, str], str] = {}
 _databases: dict[str, list[str]] = {}
+_passing: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,7 +33,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path no one has written to yet."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/sparkwell/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/sparkwell/{app}/{label}-{uuid.uuid4().hex}"
+    for paths in _passing:
+        paths.append(path)
+    return path
 
 
 def fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -88,6 +93,22 @@ def delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes at its end what has been written since its begin; take a path out of the list to keep it.
+
+    Nothing made once per application (copies, databases) may be asked for inside.
+    """
+    paths: list[str] = []
+    _passing.append(paths)
+    try:
+        yield paths
+    finally:
+        _passing.remove(paths)
+        for path in paths:
+            delete(spark, path)
+
+
 def drop_databases(spark: SparkSession) -> None:
     """Drop every database made in this application, with its tables; copies are made anew when asked for again."""
     app = spark.sparkContext.applicationId

@@ -230,3 +230,15 @@ def test_clear_leaves_nothing_behind(spark, sf_dir, tmp_path, monkeypatch):
     storage.clear(spark)
     assert not list(tmp_path.rglob("*.parquet")) and all_queries()["src_orc"](spark, sf_dir).count() > 0
     storage.clear(spark)
+
+
+def test_passing_tables_go_and_kept_ones_stay(spark):
+    with storage.passing(spark) as written:
+        for label in ("gone", "kept"):
+            spark.range(3).write.parquet(storage.new_path(spark, label))
+        gone, kept = written
+        written.remove(kept)
+    assert spark.read.parquet(kept).count() == 3
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(gone)
+    assert storage.new_path(spark, "later") not in written
