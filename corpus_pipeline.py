@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages over ``documents``, each the operator of its name on all that the stage before it kept.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which :func:`run` writes as Parquet
-to the shared folder and reads again for the next one. All but the last return the columns of ``documents``.
+to the shared folder and reads again for the next one; a stage's intermediate tables go when its rows are
+written, the rows themselves when the next stage's are. All but the last return the columns of ``documents``.
 
 1. ``language_id``: documents whose language can't be told go: without a letter, or about as near to one codeword as
    to another. A null ``lang`` is filled with the prediction; others are left as they came.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sparkwell.llm import language_id, line_dedup, minhash, mixing, sentencepiece_tokens
 from sparkwell.llm.queries_text import MODEL_PATH
-from sparkwell.llm.shared import stored
+from sparkwell.storage import delete, new_path, passing
 from sparkwell.tables import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -73,7 +74,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with passing(spark) as written:
+            kept = stage(spark, docs, sf_dir)
+            path = new_path(spark, f"pipeline-{name}")
+            kept.write.parquet(path)
+            written.remove(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before is not None:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwell.llm.shared import slices, stored
+from sparkwell.llm.shared import leaving_nothing, slices, stored
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 13
@@ -151,7 +151,7 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", key: str
             at = np.flatnonzero(vector)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at, pa.int32()), pa.array(vector[at])], names=["lang", "at", "sum"])
 
-    added = sample.mapInArrow(sums, "lang string, at int, sum double").groupBy("lang", "at").agg(F.sum("sum").alias("sum"))
+    added = sample.mapInArrow(leaving_nothing(sums), "lang string, at int, sum double").groupBy("lang", "at").agg(F.sum("sum").alias("sum"))
     vectors = added.groupBy("lang").agg(F.collect_list("at").alias("at"), F.collect_list("sum").alias("sum")).collect()
     found = {r["lang"]: (r["at"], r["sum"]) for r in vectors}
     languages = sorted(found)
@@ -201,7 +201,7 @@ def _trust(spark, sample: DataFrame, model: Model) -> np.ndarray:
             names=["lang", "bit", "hits", "n"],
         )
 
-    rows = sample.mapInArrow(right, "lang int, bit int, hits double, n double").groupBy("lang", "bit").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).collect()
+    rows = sample.mapInArrow(leaving_nothing(right), "lang int, bit int, hits double, n double").groupBy("lang", "bit").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).collect()
     trust = np.full(model.code.shape, 1e-3)
     for r in rows:
         trust[r["lang"], r["bit"]] += r["hits"] / r["n"] if r["n"] else 1.0
@@ -224,7 +224,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", least_score: floa
                 columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(lang), pa.array(score), pa.array(doubt)], names=schema.names)
 
-    return docs.select(*names).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(leaving_nothing(run), schema)
 
 
 def held_out(doc_id: str, folds: int = 5) -> Column:

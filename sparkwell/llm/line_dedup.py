@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwell.llm.shared import LOWER, SPACES, UPPER, mix, slices, stored
+from sparkwell.llm.shared import LOWER, SPACES, UPPER, leaving_nothing, mix, slices, stored
 
 KEY_BYTES = 16
 ADDED = ("n_lines", "n_dropped", "kept")
@@ -268,7 +268,7 @@ def _dropped_in_place(docs: DataFrame, frequent: DataFrame, n: int, shards: int,
             columns += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *ADDED])
 
-    return docs.select(*names).mapInArrow(run, out_schema)
+    return docs.select(*names).mapInArrow(leaving_nothing(run), out_schema)
 
 
 def _dropped_by_join(docs: DataFrame, frequent: DataFrame, id_col: str, text: str) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkwell.llm.shared import WORD_BYTES, components, fixed_bytes, group_starts, mix, slices, stored, whole_groups
+from sparkwell.llm.shared import WORD_BYTES, components, fixed_bytes, group_starts, leaving_nothing, mix, slices, stored, whole_groups
 from sparkwell.session import shuffle_partitions
 from sparkwell.skew import broadcast_if_small
 
@@ -52,6 +52,10 @@ _word = re.compile(WORD_BYTES)
 _words: dict[bytes, int] = {}
 
 
+def _forget() -> None:
+    _words.clear()
+
+
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """The distinct hashed shingles of a text, sorted."""
     found = _word.findall((text or "").encode("utf-8", "surrogatepass").lower())
@@ -124,7 +128,7 @@ def _sketched(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["id", "text_key", "n_shingles", "class", "sketch"])
 
     schema = T.StructType([docs.schema["id"]]).add("text_key", "binary").add("n_shingles", "long").add("class", "binary").add("sketch", "binary")
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(leaving_nothing(run, _forget), schema)
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -140,7 +144,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64)))
             yield pa.RecordBatch.from_arrays([digests, lists], names=["class", "shingles"])
 
-    made = rows.mapInArrow(run, "class binary, shingles array<long>")
+    made = rows.mapInArrow(leaving_nothing(run, _forget), "class binary, shingles array<long>")
     # An id may stand for several texts; one copy of each wanted class is enough.
     return made.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"])
 
@@ -155,7 +159,7 @@ def _agreeing(pairs: DataFrame, least: float) -> DataFrame:
                 sa, sb = (fixed_bytes(batch.column(k), SKETCH_BYTES) for k in (2, 3))
                 yield batch.filter(pa.array(agreement(sa, sb) >= least)).select(["a", "b"])
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
+    return pairs.select("a", "b", "sa", "sb").mapInArrow(leaving_nothing(run), "a binary, b binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -230,7 +234,7 @@ def _across(members: DataFrame, least: float, sets: DataFrame | None = None, sim
                     b += [names[i] for i in y.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    return spread.mapInArrow(run, "a binary, b binary")
+    return spread.mapInArrow(leaving_nothing(run), "a binary, b binary")
 
 
 def groups(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkwell.llm.shared import slices
+from sparkwell.llm.shared import leaving_nothing, slices
 
 MARK = "▁"
 
@@ -147,6 +147,7 @@ class Encoder:
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=raw)
         self.one_by_one = self.model.splits()
         self.plain = not self.model.char_map and not self.model.squeeze
+        self.model.pieces = []  # both libraries hold them now
         self.most_words, self.most_chars = most_words, most_chars
         self._forget()
 
@@ -246,7 +247,7 @@ def encode(docs: DataFrame, raw: bytes, text: str = "text", with_ids: bool = Tru
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         made = encoder(shared.value)
-        for batch in slices(batches, text, 2 << 20):
+        for batch in slices(batches, text, 1 << 19):
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             flat, bounds, same, back = made.encode([t or "" for t in texts])
             null = np.array([t is None for t in texts], bool)
@@ -262,7 +263,7 @@ def encode(docs: DataFrame, raw: bytes, text: str = "text", with_ids: bool = Tru
                 columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.astype(np.int32)), mask=pa.array(null)))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(*names, text).mapInArrow(run, schema)
+    return docs.select(*names, text).mapInArrow(leaving_nothing(run), schema)
 
 
 def decode(rows: DataFrame, raw: bytes, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -280,7 +281,7 @@ def decode(rows: DataFrame, raw: bytes, ids: str = "ids", out: str = "text") ->
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string())], names=schema.names)
 
-    return rows.select(*names).mapInArrow(run, schema)
+    return rows.select(*names).mapInArrow(leaving_nothing(run), schema)
 
 
 def counted(docs: DataFrame, raw: bytes) -> DataFrame:

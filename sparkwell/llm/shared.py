@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def leaving_nothing(run: Callable[[Batches], Batches], *forget: Callable[[], None]) -> Callable[[Batches], Batches]:
+    """``run`` for tasks whose worker goes on to other stages: at its end caches are emptied and memory goes back to the system."""
+
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            for clear in forget:
+                clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library, which has no such call
+                pass
+
+    return wrapped
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds about ``max_bytes``, so that long texts don't add up in memory.
 
