@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from sparkwell.functions import arrays, conditions, dates, udfs  # noqa: F401
-from sparkwell.operators import aggregates, filters, joins, projections, sorting, windows  # noqa: F401
+from sparkwell.operators import aggregates, filters, intervals, joins, projections, scans, sorting, windows  # noqa: F401
 from sparkwell.plans import catalog, layout  # noqa: F401
 from sparkwell.registry import ORACLE, QUERIES, Runner, with_views
 from sparkwell.sinks import writers

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_folder: dict[str, str] = {}
@@ -39,6 +39,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def written(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` as a table in the shared folder: what reads it several times doesn't make it several times."""
+    path = new_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Names, sizes and times of the Parquet files below a folder as one value; empty for a folder that doesn't exist."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")

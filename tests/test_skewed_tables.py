@@ -42,10 +42,14 @@ def skewed(tmp_path_factory):
         "join_cross",
         "join_full",
         "join_multiway",
+        "join_overlapping",
         "join_right",
         "join_sort_merge",
+        "win_frame_last_value",
+        "win_frame_rows",
         "win_last_value_range",
         "win_rank_vs_dense",
+        "win_running_rows",
     ],
 )
 def test_same_rows_on_skewed_tables(key, spark, skewed, no_broadcast):
