@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from sparkwell import storage, views
 from sparkwell.functions.clock import compact_text
+from sparkwell.operators.scans import running
 from sparkwell.registry import query
-from sparkwell.skew import attach_per_key
+from sparkwell.skew import attach_per_key, hot_keys, salt_many, salt_one
 from sparkwell.tables import table
 
 # Executors need not have this package: its functions travel with the job.
@@ -134,19 +135,37 @@ def _minus_given_mean(piece: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": piece["id"], "v": pd.arrays.FloatingArray(value, ~piece["known"].to_numpy(bool))})
 
 
-def subtract_mean_in_pandas(rows: DataFrame, share: float | None = None, rows_per_piece: int = 100_000) -> DataFrame:
+def subtract_mean_in_pandas(rows: DataFrame, share: float | None = None) -> DataFrame:
     """The same with a pandas function per group.
 
-    The mean comes from an ordinary aggregate, so a group can be handed to pandas in pieces and
-    the answer doesn't depend on them: an id has a piece for each ``rows_per_piece`` of its rows,
-    and a row's piece is drawn by a hash.
+    The mean comes from an ordinary aggregate, so a group can be handed to pandas in pieces and the
+    answer doesn't depend on them: an id with more rows than a partition should hold has as many pieces as
+    it fills partitions. Rows are shuffled once, by (id, piece), for their join with the means and for pandas alike.
     """
+    hot = hot_keys(rows, "id", share)
     numbered = rows.select("id", "v", F.monotonically_increasing_id().alias("row"))
-    means = rows.groupBy("id").agg(F.avg("v").alias("mean"), F.ceil(F.count("*") / rows_per_piece).alias("pieces"))
-    joined = attach_per_key(numbered, means, "id", share, null_is_key=True)
-    piece = F.pmod(F.xxhash64("row", "v"), "pieces").alias("piece")
-    cut = joined.select("id", "v", "mean", F.col("v").isNotNull().alias("known"), piece)
-    return cut.groupBy("id", "piece").applyInPandas(_minus_given_mean, "id long, v double")
+    # Null is an id like any other, told apart by a column of its own: a null-safe join would hash other expressions.
+    key = [F.coalesce("id", F.lit(0)).alias("known_id"), F.col("id").isNull().alias("no_id"), "salt"]
+    many = salt_many(numbered, "id", ["row"], hot).select(*key, "id", "v")
+    means = rows.groupBy("id").agg(F.avg("v").alias("mean"))
+    one = salt_one(means, "id", hot).select(*key, "mean").hint("shuffle_hash")
+    joined = many.join(one, ["known_id", "no_id", "salt"]).withColumn("known", F.col("v").isNotNull())
+    return joined.groupBy("known_id", "no_id", "salt").applyInPandas(_minus_given_mean, "id long, v double")
+
+
+def subtract_mean_in_lists(rows: DataFrame, most: int = 1024, share: float | None = None) -> DataFrame:
+    """The same with lists of structs: at most ``most`` rows of an id to a list, worked on whole and taken apart again.
+
+    A running count within each id numbers its rows, so a frequent id makes more lists, never a longer one.
+    """
+    numbered = rows.select("id", "v", F.monotonically_increasing_id().alias("row"))
+    counted = running(numbered, "id", ("row",), {"nth": ("count", "row")}, share)
+    chunk = F.floor((F.col("nth") - 1) / most).alias("chunk")
+    lists = counted.groupBy("id", chunk).agg(F.collect_list(F.struct("v")).alias("values"))
+    means = rows.groupBy("id").agg(F.avg("v").alias("mean"))
+    met = attach_per_key(lists, means, "id", share, null_is_key=True)
+    less = F.transform("values", lambda x: F.struct((x["v"] - F.col("mean")).alias("v")))
+    return met.select("id", F.inline(less))
 
 
 @query(
@@ -226,6 +245,11 @@ def grp_subtract_mean_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subtract_mean_in_pandas(views.grouped_values(spark, sf_dir))
 
 
+@query("grp_subtract_mean_lists", _MINUS_MEAN)
+def grp_subtract_mean_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subtract_mean_in_lists(views.grouped_values(spark, sf_dir))
+
+
 @query("udf_map_partitions", "SELECT id, sqrt(square) AS root FROM v_squares")
 def udf_map_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = storage.staged(spark, "roots", sf_dir, lambda path: write_roots(views.squares(spark, sf_dir), path))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkwell import skew, storage, views
 from sparkwell.registry import query
@@ -61,6 +63,46 @@ def rows_per_partition(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
 
 
+#: Slots for each partition that keys below the fair share are hashed into before they are packed.
+SLOTS = 16
+
+
+def placed_by_key(rows: DataFrame, key: str, parts: int) -> DataFrame:
+    """``rows``, whole, over ``parts`` partitions: all rows of a key in one, unless it holds more than a partition's fair share.
+
+    Such a key is cut into pieces of a fair share. Larger keys count for themselves, all others by slots of their
+    hash; pieces, keys and slots are packed, the largest first, each into the partition that is emptiest so far.
+    A partition then holds less than two fair shares. The driver sees as many numbers as
+    there are slots; null is a key like any other.
+    """
+    spark, slots = rows.sparkSession, SLOTS * parts
+    slot = F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+    per_key = storage.written(rows.groupBy(key).agg(F.count("*").alias("n")), "rows-by-key")
+    fair = -(-(per_key.agg(F.sum("n")).first()[0] or 0) // parts)
+    large = [(r[key], r["n"]) for r in per_key.filter(F.col("n") > fair / 4).collect()]
+    small = {r["slot"]: r["n"] for r in per_key.filter(F.col("n") <= fair / 4).groupBy(slot.alias("slot")).agg(F.sum("n").alias("n")).collect()}
+    pieces = {i: -(-n // fair) for i, (_, n) in enumerate(large)}
+    items = [(large[i][1] / count, ("key", i, piece)) for i, count in pieces.items() for piece in range(count)]
+    items += [(n, ("slot", s, 0)) for s, n in small.items()]
+    load, home = [(0.0, p) for p in range(parts)], {}
+    for n, item in sorted(items, key=lambda x: (-x[0], x[1])):
+        filled, part = heapq.heappop(load)
+        home[item] = part
+        heapq.heappush(load, (filled + n, part))
+    kind = rows.schema[key].dataType
+    of_keys = T.StructType([T.StructField("large_key", kind)]).add("piece", "integer").add("pieces", "integer").add("place", "integer")
+    keys = spark.createDataFrame([(large[i][0], p, pieces[i], part) for (what, i, p), part in home.items() if what == "key"], of_keys)
+    others = spark.createDataFrame([(s, part) for (what, s, _), part in home.items() if what == "slot"], "small_slot int, place_of_slot int")
+    counts = keys.groupBy("large_key").agg(F.first("pieces").alias("pieces_of_key")).withColumnRenamed("large_key", "counted_key")
+    numbered = rows.withColumn("row_number_in_scan", F.monotonically_increasing_id())
+    cut = numbered.join(F.broadcast(counts), F.col(key).eqNullSafe(F.col("counted_key")), "left")
+    cut = cut.withColumn("row_piece", F.pmod(F.xxhash64("row_number_in_scan"), F.coalesce("pieces_of_key", F.lit(1))).cast("int"))
+    cut = cut.join(F.broadcast(keys.drop("pieces")), F.col(key).eqNullSafe(F.col("large_key")) & (F.col("row_piece") == F.col("piece")), "left")
+    cut = cut.join(F.broadcast(others), slot == F.col("small_slot"), "left")
+    place = F.coalesce("place", "place_of_slot")
+    return cut.withColumn("place", place).repartitionById(parts, F.col("place")).select(*rows.columns)
+
+
 def from_disk_cache(rows: DataFrame, reports: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
     """Answer several questions from one disk-only cached result, then let the cache go.
 
@@ -96,6 +138,35 @@ def layout_repartition_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.groupBy("l_returnflag").agg(F.countDistinct("part").alias("parts"), F.sum("n").alias("n"))
 
 
+@query(
+    "layout_rows_by_key",
+    """SELECT count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS line_numbers, count(DISTINCT l_suppkey) AS keys, true AS balanced,
+              CAST(0 AS BIGINT) AS torn_keys
+       FROM lineitem""",
+)
+def layout_rows_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole lines laid out by supplier, a file a partition, and what the layout is like."""
+    parts = max(16, shuffle_partitions(spark))
+
+    def write(path: str) -> None:
+        lines = placed_by_key(table(spark, sf_dir, "lineitem"), "l_suppkey", parts)
+        lines.withColumn("part", F.spark_partition_id()).write.parquet(path)
+
+    lines = spark.read.parquet(storage.staged(spark, f"lines-by-supplier-{parts}", sf_dir, write))
+    each = lines.groupBy("l_suppkey", "part").agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("line_numbers"))
+    of_part = each.groupBy("part").agg(F.sum("n").alias("n"))
+    of_key = each.groupBy("l_suppkey").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("line_numbers").alias("line_numbers"))
+    most, fair = of_part.agg(F.max("n"), F.ceil(F.sum("n") / parts)).first()
+    return of_key.agg(
+        F.sum("n").alias("n"),
+        F.sum("line_numbers").alias("line_numbers"),
+        F.count("*").alias("keys"),
+        F.lit(most is None or most < 2 * fair).alias("balanced"),
+        # A key lies in as many partitions as it fills, one if it is below the fair share.
+        F.count_if(F.col("parts") > F.ceil(F.col("n") / fair)).alias("torn_keys"),
+    )
+
+
 @query(
     "cache_disk_only",
     """SELECT 'protocol' AS field, protocol AS value, count(*) AS n FROM v_requests GROUP BY protocol UNION ALL

@@ -7,12 +7,12 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_folder: dict[str, str] = {}
-_made: dict[tuple[str, str, str], str] = {}
+_made: dict[tuple[str, str, str], tuple[str, dict[str, str]]] = {}
+_reading: list[dict[str, str]] = []
 _databases: dict[str, list[str]] = {}
 _passing: list[list[str]] = []
 
@@ -46,22 +46,46 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Names, sizes and times of the Parquet files below a folder as one value; empty for a folder that doesn't exist."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-    try:
-        listed = files.load(sf_dir).select("path", "length", "modificationTime")
-    except AnalysisException:
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Size and time of a file, or names, sizes and times of the Parquet files below a folder, as one value; empty if there is nothing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
         return ""
+    found = system.getFileStatus(place)
+    if found.isFile():
+        return f"{found.getLen()} {found.getModificationTime()}"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    listed = files.load(path).select("path", "length", "modificationTime")
     return str(listed.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
 
 
+def note_table(spark: SparkSession, path: str) -> None:
+    """Tell the copies that are being made that they read this table."""
+    for seen in _reading:
+        if path not in seen:
+            seen[path] = fingerprint(spark, path)
+
+
 def once(spark: SparkSession, label: str, sf_dir: str, make: Callable[[], str]) -> str:
-    """Do ``make`` once per application and state of the table folder; later calls get its first answer."""
-    slot = (spark.sparkContext.applicationId, label, sf_dir + fingerprint(spark, sf_dir))
-    if slot not in _made:
-        _made[slot] = make()
-    return _made[slot]
+    """Do ``make`` once per application and state of the tables that it reads; later calls get its first answer.
+
+    Only those tables are looked at again; where ``make`` names none, the whole folder is.
+    """
+    slot = (spark.sparkContext.applicationId, label, sf_dir)
+    value, seen = _made.get(slot, ("", {}))
+    if not seen or any(fingerprint(spark, path) != state for path, state in seen.items()):
+        seen = {}
+        _reading.append(seen)
+        try:
+            value = make()
+        finally:
+            _reading.pop()
+        seen = seen or {sf_dir: fingerprint(spark, sf_dir)}
+        _made[slot] = (value, seen)
+    for outer in _reading:
+        outer.update(seen)
+    return value
 
 
 def staged(spark: SparkSession, label: str, sf_dir: str, write: Callable[[str], None]) -> str:
@@ -84,7 +108,7 @@ def new_database(spark: SparkSession) -> str:
 
 
 def database_for(spark: SparkSession, label: str, sf_dir: str, fill: Callable[[str], None]) -> str:
-    """A database that ``fill`` has put tables in, made once per application and state of the table folder."""
+    """A database that ``fill`` has put tables in, made once per application and state of its tables."""
 
     def make() -> str:
         name = new_database(spark)
@@ -111,7 +135,7 @@ def passing(spark: SparkSession) -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _passing.remove(paths)
+        _passing.pop()
         for path in paths:
             delete(spark, path)
 

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of, rows_of
 from sparkwell import skew
-from sparkwell.functions.udfs import subtract_mean, subtract_mean_in_pandas
+from sparkwell.functions.udfs import subtract_mean, subtract_mean_in_lists, subtract_mean_in_pandas
 from sparkwell.operators.joins import full_outer
-from sparkwell.plans.layout import bucketed_pair
+from sparkwell.operators.scans import running
+from sparkwell.plans.layout import bucketed_pair, placed_by_key
 
 N = 9000
 
@@ -82,19 +83,57 @@ def test_subtract_mean_is_the_same_however_groups_are_cut(lopsided, share):
 
 def test_a_hot_group_reaches_pandas_in_pieces(lopsided):
     rows = lopsided.select("id", "v")
-    assert "piece" in plan_of(subtract_mean_in_pandas(rows))
-    few, many = (subtract_mean_in_pandas(rows, rows_per_piece=n) for n in (10**6, 100))
+    few, many = (subtract_mean_in_pandas(rows, share) for share in (1.0, 0.01))
     assert rows_of(few) == rows_of(many)
 
 
-@pytest.mark.parametrize("rows_per_piece", [1, 10**6])
+def test_rows_are_shuffled_once_for_pandas(lopsided, no_broadcast):
+    """By (id, piece), for the join and for pandas; the other exchange is of means."""
+    plan = plan_of(subtract_mean_in_pandas(lopsided.select("id", "v")))
+    above = plan[: plan.index("ShuffledHashJoin")]
+    below = plan[plan.index("ShuffledHashJoin") :]
+    assert "Exchange" not in above and below.count("Exchange hashpartitioning(known_id") == 2
+
+
 @pytest.mark.parametrize("share", [0.9, 0.01])
-def test_nan_and_null_are_the_same_everywhere(spark, share, rows_per_piece):
+def test_nan_and_null_are_the_same_everywhere(spark, share):
     values = [(1, 1.0), (1, float("nan")), (1, 3.0), (2, 1.0), (2, None), (2, 3.0), (None, 5.0), (None, 7.0)]
     rows = spark.createDataFrame(values, "id long, v double")
     wanted = sorted(map(str, [(1, float("nan"))] * 3 + [(2, -1.0), (2, None), (2, 1.0), (None, -1.0), (None, 1.0)]))
     assert sorted(str(tuple(r)) for r in subtract_mean(rows, share).collect()) == wanted
-    assert sorted(str(tuple(r)) for r in subtract_mean_in_pandas(rows, share, rows_per_piece).collect()) == wanted
+    assert sorted(str(tuple(r)) for r in subtract_mean_in_pandas(rows, share).collect()) == wanted
+    for most in (1, 2, 1000):
+        assert sorted(str(tuple(r)) for r in subtract_mean_in_lists(rows, most, share).collect()) == wanted
+
+
+def test_lists_of_a_hot_group_are_bounded(lopsided):
+    rows = lopsided.select("id", "v")
+    found = subtract_mean_in_lists(rows, most=50, share=0.05)
+    assert sorted((r.id, round(r.v, 9)) for r in found.collect()) == sorted((r.id, round(r.v, 9)) for r in subtract_mean(rows).collect())
+    numbered = rows.select("id", "v", F.monotonically_increasing_id().alias("row"))
+    sizes = running(numbered, "id", ("row",), {"nth": ("count", "row")}, 0.05).groupBy("id", F.expr("(nth - 1) div 50")).count()
+    assert sizes.agg(F.max("count")).first()[0] == 50
+
+
+@pytest.mark.parametrize("parts", [1, 7, 32])
+def test_rows_placed_by_key_are_balanced_and_whole(spark, parts):
+    """One key with a third, one with a tenth of the rows, many small ones, a null key, repeated rows."""
+    rows = spark.range(20_000).selectExpr("case when id % 3 = 0 then 'hot' when id % 10 = 1 then null else concat('k', id % 700) end as k", "id % 50 as x", "concat('text', id % 9) as t")
+    placed = placed_by_key(rows, "k", parts)
+    assert placed.columns == rows.columns and placed.exceptAll(rows).count() == 0 and rows.exceptAll(placed).count() == 0
+    each = placed.withColumn("p", F.spark_partition_id()).groupBy("k", "p").count().collect()
+    per_part, homes, size = {}, {}, {}
+    for r in each:
+        per_part[r.p] = per_part.get(r.p, 0) + r["count"]
+        homes[r.k] = homes.get(r.k, 0) + 1
+        size[r.k] = size.get(r.k, 0) + r["count"]
+    fair = -(-20_000 // parts)
+    assert max(per_part.values()) < 2 * fair and len(per_part) == parts
+    assert all(homes[k] <= -(-n // fair) for k, n in size.items())
+
+
+def test_nothing_is_placed_nowhere(spark):
+    assert placed_by_key(spark.createDataFrame([], "k string, x int"), "k", 8).collect() == []
 
 
 def test_salted_buckets_spread_a_hot_key_and_lose_nothing(spark, lopsided):

@@ -34,6 +34,7 @@ def skewed(tmp_path_factory):
         "flights_q3_case",
         "flights_window_top3",
         "grp_subtract_mean_builtin",
+        "grp_subtract_mean_lists",
         "grp_subtract_mean_pandas",
         "hr_all_info",
         "hr_latest",
@@ -45,6 +46,7 @@ def skewed(tmp_path_factory):
         "join_overlapping",
         "join_right",
         "join_sort_merge",
+        "layout_rows_by_key",
         "win_frame_last_value",
         "win_frame_rows",
         "win_last_value_range",

@@ -14,6 +14,7 @@ from sparkwell.plans import catalog, layout
 from sparkwell.sinks import writers
 from sparkwell.sources import jdbc, readers
 from sparkwell.sources import queries as sources
+from sparkwell.tables import table
 
 
 def part_files(path):
@@ -242,3 +243,25 @@ def test_passing_tables_go_and_kept_ones_stay(spark):
     with pytest.raises(AnalysisException):
         spark.read.parquet(gone)
     assert storage.new_path(spark, "later") not in written
+
+
+def test_a_copy_follows_the_tables_it_reads_and_no_others(spark, tmp_path):
+    folder, made = str(tmp_path), []
+    for name in ("read", "other"):
+        spark.range(3).write.parquet(f"{folder}/{name}.parquet")
+
+    def copy():
+        def write(path):
+            made.append(path)
+            table(spark, folder, "read").write.parquet(path)
+
+        return storage.staged(spark, "by-table", folder, write)
+
+    def of_copy():
+        return storage.staged(spark, "of-copy", folder, lambda path: spark.read.parquet(copy()).write.parquet(path))
+
+    first, second = copy(), of_copy()
+    spark.range(4).write.mode("overwrite").parquet(f"{folder}/other.parquet")
+    assert copy() == first and of_copy() == second and len(made) == 1
+    spark.range(5).write.mode("overwrite").parquet(f"{folder}/read.parquet")
+    assert of_copy() != second and spark.read.parquet(of_copy()).count() == 5 and len(made) == 2
