@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -225,109 +225,118 @@ def src_literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(promised, F.col("o_orderpriority") == F.col("priority")).select("o_orderkey", "days")
 
 
-@query("src_range", "SELECT unnest(range(1, (SELECT count(*) FROM orders))) AS id")
+@query(
+    "src_range",
+    """SELECT r.id, o_custkey FROM (SELECT unnest(range((SELECT min(o_orderkey) FROM orders), (SELECT max(o_orderkey) + 1 FROM orders))) AS id) r
+       LEFT JOIN orders ON o_orderkey = r.id""",
+)
 def src_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(1, table(spark, sf_dir, "orders").count())
+    """Every number between the least and the greatest order key, with the customer of the order that has it."""
+    orders = table(spark, sf_dir, "orders")
+    least, most = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    ids = spark.range(0) if least is None else spark.range(least, most + 1)
+    return ids.join(orders.select(F.col("o_orderkey").alias("id"), "o_custkey"), "id", "left")
 
 
-def synthetic_usage(spark: SparkSession, n: int) -> DataFrame:
-    """Users with a made-up usage below 1000. Columns follow from the id, so a retry repeats them."""
-    return spark.range(n).select(
-        F.col("id").alias("uid"),
-        F.concat(F.lit("user-"), F.lpad(F.col("id").cast("string"), 12, "0")).alias("uname"),
-        F.pmod(F.col("id") * 7919 + 17, F.lit(1000)).cast("int").alias("usage"),
+def synthetic_usage(seeds: DataFrame, uid: str, seed: str) -> DataFrame:
+    """A user with a made-up usage below 1000 for each row. Columns follow from the row's own values, so a retry repeats them."""
+    return seeds.select(
+        F.col(uid).alias("uid"),
+        F.concat(F.lit("user-"), F.lpad(F.col(uid).cast("string"), 12, "0")).alias("uname"),
+        F.pmod(F.col(uid) * 7919 + F.col(seed) * 17, F.lit(1000)).cast("int").alias("usage"),
     )
 
 
-def synthetic_orders(spark: SparkSession, n: int, users: int) -> DataFrame:
-    return spark.range(n).select(
-        F.col("id").alias("transaction_id"),
-        (F.col("id") % 50 + 1).cast("int").alias("quantity"),
-        F.pmod(F.col("id") * 104729, F.lit(users)).alias("users_id"),
-        (F.pmod(F.col("id") * 31, F.lit(10000)) / 4).alias("amount"),
+def synthetic_orders(seeds: DataFrame, transaction_id: str, uid: str, seed: Column) -> DataFrame:
+    """A made-up order of the row's user for each row, in the same way."""
+    return seeds.select(
+        F.col(transaction_id).alias("transaction_id"),
+        F.col(uid).alias("users_id"),
+        (F.pmod(F.col(transaction_id) + seed, F.lit(50)) + 1).cast("int").alias("quantity"),
+        (F.pmod(F.col(transaction_id) * 31 + seed, F.lit(10000)) / 4).alias("amount"),
     )
 
 
 @query(
     "src_synthetic",
-    """WITH n AS (SELECT (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM customer) AS c),
-       placed AS (SELECT id AS transaction_id, CAST(id % 50 + 1 AS INT) AS quantity, (id * 104729) % c AS users_id,
-                         (id * 31) % 10000 / 4.0::DOUBLE AS amount
-                  FROM n, (SELECT unnest(range(0, (SELECT count(*) FROM orders))) AS id)),
-       known AS (SELECT id AS uid, concat('user-', lpad(CAST(id AS VARCHAR), 12, '0')) AS uname,
-                        CAST((id * 7919 + 17) % 1000 AS INT) AS usage
-                 FROM (SELECT unnest(range(0, (SELECT count(*) FROM customer))) AS id))
-       SELECT uid, uname, usage, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS quantity,
-              round(sum(amount), 4) AS amount
-       FROM known JOIN placed ON users_id = uid GROUP BY ALL""",
+    """SELECT uid, uname, usage, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS quantity, round(sum(amount), 4) AS amount
+       FROM (SELECT c_custkey AS uid, concat('user-', lpad(CAST(c_custkey AS VARCHAR), 12, '0')) AS uname,
+                    CAST((c_custkey * 7919 + c_nationkey * 17) % 1000 AS INT) AS usage FROM customer)
+       JOIN (SELECT o_custkey AS users_id, CAST((o_orderkey + dayofyear(o_orderdate)) % 50 + 1 AS INT) AS quantity,
+                    (o_orderkey * 31 + dayofyear(o_orderdate)) % 10000 / 4.0::DOUBLE AS amount FROM orders) ON users_id = uid
+       GROUP BY ALL""",
 )
 def src_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = table(spark, sf_dir, "customer").count()
-    placed = synthetic_orders(spark, table(spark, sf_dir, "orders").count(), users)
+    """Users and orders generated from the keys of real ones, so the two fit together as those do."""
+    placed = synthetic_orders(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey", F.dayofyear("o_orderdate"))
     per_user = placed.groupBy(F.col("users_id").alias("uid")).agg(
         F.count("*").alias("orders"), F.sum("quantity").alias("quantity"), F.round(F.sum("amount"), 4).alias("amount")
     )
-    return synthetic_usage(spark, users).join(per_user, "uid")
+    return synthetic_usage(table(spark, sf_dir, "customer"), "c_custkey", "c_nationkey").join(per_user, "uid")
+
+
+PRIORITIES = range(1, 6)
 
 
-def month_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each order priority, how long the bar of each month is, from 0 to 7."""
-    months = [str(m) for m in range(1, 13)]
+def priority_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each nation and month with orders, how long the bar of each priority is, from 0 to 7."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("int").alias("nation"))
     dated = table(spark, sf_dir, "orders").select(
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("label"),
-        F.month("o_orderdate").cast("string").alias("month"),
+        "o_custkey",
+        (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("month"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
     )
-    counted = dated.groupBy("label").pivot("month", months).agg(F.count("month"))
-    filled = counted.na.fill(0)
-    most = F.greatest(*[F.col(m) for m in months])
-    return filled.select("label", *[F.floor(F.col(m) * 7 / most).cast("int").alias(m) for m in months])
+    each = [F.count_if(F.col("priority") == p).alias(f"n{p}") for p in PRIORITIES]
+    counted = dated.join(customers, "o_custkey").groupBy("nation", "month").agg(*each)
+    most = F.greatest(*[F.col(f"n{p}") for p in PRIORITIES])
+    return counted.select("nation", "month", *[F.floor(F.col(f"n{p}") * 7 / most).cast("int").alias(f"bar{p}") for p in PRIORITIES])
 
 
 def bar_pictures(spark: SparkSession, sf_dir: str) -> str:
-    """One 8 x 12 black-and-white bitmap (WBMP) of the month bars for each priority.
+    """One 8 x 5 black-and-white bitmap (WBMP) of the priorities' bars for each nation and month: as many files as the orders reach.
 
-    All bytes of such a bitmap are below 128, so the text writer can write it.
+    A bitmap is encoded where its counts are, and each task writes the files of its rows. All bytes
+    are below 128, so the text writer can write them.
     """
 
     def write(path: str) -> None:
-        lit = [F.char(F.expr(f"shiftleft(1, `{m}`) - 1")) for m in range(1, 13)]
-        size = F.lit("\x00\x00\x08\x0c")
-        pictures = month_bars(spark, sf_dir).select("label", F.concat(size, *lit).alias("value"))
-        pictures.write.partitionBy("label").text(path)
+        lit = [F.char(F.expr(f"shiftleft(1, bar{p}) - 1")) for p in PRIORITIES]
+        size = F.lit("\x00\x00\x08\x05")
+        pictures = priority_bars(spark, sf_dir).select("nation", "month", F.concat(size, *lit).alias("value"))
+        pictures.write.partitionBy("nation", "month").text(path)
 
     return storage.staged(spark, "pictures", sf_dir, write)
 
 
-_BARS = """SELECT label, CAST(floor(n * 7 / (max(n) OVER (PARTITION BY label))) AS INT) AS bar, m FROM (
-             SELECT CAST(substr(p.pr, 1, 1) AS INT) AS label, m, count(o_orderkey) AS n
-             FROM (SELECT DISTINCT o_orderpriority AS pr FROM orders) p
-                  CROSS JOIN (SELECT unnest(range(1, 13)) AS m)
-                  LEFT JOIN orders ON o_orderpriority = pr AND month(o_orderdate) = m GROUP BY ALL)"""
+_BARS = """SELECT nation, month, p, CAST(floor(n * 7 / (max(n) OVER (PARTITION BY nation, month))) AS INT) AS bar FROM (
+             SELECT CAST(c_nationkey AS INT) AS nation, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INT) AS month, p,
+                    count(*) FILTER (WHERE CAST(substr(o_orderpriority, 1, 1) AS INT) = p) AS n
+             FROM orders JOIN customer ON o_custkey = c_custkey CROSS JOIN (SELECT unnest(range(1, 6)) AS p) GROUP BY ALL)"""
 
 
 @query(
     "src_image",
-    f"""SELECT label, 12::INT AS height, 8::INT AS width, 3::INT AS nChannels, 16::INT AS mode,
-               CAST(sum(bar) AS INT) AS lit FROM ({_BARS}) GROUP BY label""",
+    f"""SELECT nation, month, 5::INT AS height, 8::INT AS width, 3::INT AS nChannels, 16::INT AS mode, CAST(sum(bar) AS INT) AS lit
+        FROM ({_BARS}) GROUP BY nation, month""",
 )
 def src_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     pictures = readers.read_images(spark, bar_pictures(spark, sf_dir))
     white = F.length(F.replace(F.hex("image.data"), F.lit("00"), F.lit(""))) / 6
     return pictures.select(
-        "label", "image.height", "image.width", "image.nChannels", "image.mode", white.cast("int").alias("lit")
+        "nation", "month", "image.height", "image.width", "image.nChannels", "image.mode", white.cast("int").alias("lit")
     )
 
 
 @query(
     "src_binary",
-    f"""SELECT label, 17::BIGINT AS length,
-               '0000080C' || string_agg(printf('%02X', (1 << bar) - 1), '' ORDER BY m) || '0A' AS content
-        FROM ({_BARS}) GROUP BY label""",
+    f"""SELECT nation, month, 10::BIGINT AS length,
+               '00000805' || string_agg(printf('%02X', (1 << bar) - 1), '' ORDER BY p) || '0A' AS content
+        FROM ({_BARS}) GROUP BY nation, month""",
 )
 def src_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = readers.read_binary(spark, bar_pictures(spark, sf_dir), "*.txt", recursive=True)
-    label = F.regexp_extract("path", r"label=(\d+)", 1).cast("int")
-    return files.select(label.alias("label"), "length", F.hex("content").alias("content"))
+    part = lambda name: F.regexp_extract("path", rf"{name}=(\d+)", 1).cast("int").alias(name)
+    return files.select(part("nation"), part("month"), "length", F.hex("content").alias("content"))
 
 
 def avro_copy(spark: SparkSession, sf_dir: str) -> DataFrame:

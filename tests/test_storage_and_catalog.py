@@ -84,8 +84,11 @@ def test_schema_as_ddl(spark):
 
 def test_recursive_look_up_takes_no_partition_column(spark, sf_dir):
     folder = sources.bar_pictures(spark, sf_dir)
-    assert "label" in readers.read_binary(spark, folder, "*.txt").columns
-    assert "label" not in readers.read_binary(spark, folder, "*.txt", recursive=True).columns
+    assert "nation" in readers.read_binary(spark, folder, "*.txt").columns
+    assert "nation" not in readers.read_binary(spark, folder, "*.txt", recursive=True).columns
+    groups = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+    pictures = groups.select("c_nationkey", F.trunc("o_orderdate", "month")).distinct().count()
+    assert len(glob.glob(f"{folder}/nation=*/month=*/part-*")) == pictures > 500
     assert readers.read_binary(spark, folder, "*.png", recursive=True).count() == 0
 
 
@@ -265,3 +268,11 @@ def test_a_copy_follows_the_tables_it_reads_and_no_others(spark, tmp_path):
     assert copy() == first and of_copy() == second and len(made) == 1
     spark.range(5).write.mode("overwrite").parquet(f"{folder}/read.parquet")
     assert of_copy() != second and spark.read.parquet(of_copy()).count() == 5 and len(made) == 2
+
+
+def test_generated_rows_follow_their_seeds(spark):
+    seeds = spark.createDataFrame([(5, 9, 1), (2, 9, 7), (5, 9, 1)], "t long, u long, s long")
+    made = sources.synthetic_orders(seeds, "t", "u", F.col("s"))
+    again = sources.synthetic_orders(seeds.repartition(3), "t", "u", F.col("s"))
+    assert sorted(made.collect()) == sorted(again.collect()) == [(2, 9, 10, 17.25), (5, 9, 7, 39.0), (5, 9, 7, 39.0)]
+    assert [tuple(r) for r in sources.synthetic_usage(seeds.limit(1), "t", "s").collect()] == [(5, "user-000000000005", 5 * 7919 % 1000 + 17)]
