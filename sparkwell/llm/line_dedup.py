@@ -214,15 +214,15 @@ def drop_lines(
 
     ``counts`` must be a stored table. Every key in at least ``min_docs`` documents loses all
     its lines. While the frequent keys and their filters stay below ``broadcast_bytes``, they
-    are sent to the tasks and no text is shuffled. Beyond that bound, lines meet the filters
-    and the exact table by a shuffle on the key. Both ways give the same rows.
+    are sent to the tasks and no text is shuffled. Beyond that bound, keys of lines meet the filter of
+    their shard in a shuffle, and those that pass the exact table in another. Both ways give the same rows.
     """
     frequent = stored(counts.filter(F.col("n_docs") >= min_docs).select("key"), "frequent-lines")
     n = frequent.count()
     shards = shards_for(n, keys_per_shard)
     if n * (KEY_BYTES + 8) <= broadcast_bytes:
         return _dropped_in_place(docs, frequent, n, shards, min_docs, text)
-    return _dropped_by_join(docs, frequent, id_col, text)
+    return _dropped_by_join(docs, frequent, shards, min_docs, text)
 
 
 def _line_keys(text: bytes) -> tuple[list[bytes], list[bytes]]:
@@ -271,13 +271,38 @@ def _dropped_in_place(docs: DataFrame, frequent: DataFrame, n: int, shards: int,
     return docs.select(*names).mapInArrow(leaving_nothing(run), out_schema)
 
 
-def _dropped_by_join(docs: DataFrame, frequent: DataFrame, id_col: str, text: str) -> DataFrame:
+def through_filters(lines: DataFrame, filters: DataFrame, shards: int, rows_per_task: int = 500_000) -> DataFrame:
+    """The rows of ``lines`` (with a ``key``) that pass the filter of their key's shard.
+
+    A shard with many lines, as that of a very frequent line, goes to several tasks, each with a copy of its one filter.
+    """
+    placed = lines.withColumn("shard", _shard("key", shards))
+    turns = placed.groupBy("shard").agg(F.ceil(F.count("*") / rows_per_task).cast("int").alias("turns"))
+    turns = stored(turns, "filter-turns")  # a row for each shard of a million frequent keys
+    spread = F.pmod(F.xxhash64("_text_key", "at"), F.col("turns")).cast("int").alias("turn")
+    many = placed.join(F.broadcast(turns), "shard").select(*lines.columns, "shard", spread)
+    held = filters.join(F.broadcast(turns), "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "filter")
+    names = lines.columns
+
+    def passed(rows: pa.Table, own: pa.Table) -> pa.Table:
+        rows = rows.select(names)
+        if not own.num_rows or not rows.num_rows:
+            return rows.slice(0, 0)
+        maybe = CuckooFilter.from_bytes(own.column("filter")[0].as_py()).contains(head_of(rows.column("key").to_pylist()))
+        return rows.filter(pa.array(maybe))
+
+    return many.groupBy("shard", "turn").cogroup(held.groupBy("shard", "turn")).applyInArrow(passed, lines.schema)
+
+
+def _dropped_by_join(docs: DataFrame, frequent: DataFrame, shards: int, min_docs: int, text: str) -> DataFrame:
     """Decisions depend on the text alone, so they are joined back by its digest; repeated texts share them."""
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
     rows = docs.drop(*ADDED).withColumn("_text_key", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
     line = F.translate(F.trim(F.col("line"), F.lit(SPACES)), UPPER, LOWER)
     each = rows.dropDuplicates(["_text_key"]).select("_text_key", F.posexplode(lines).alias("at", "line")).select("_text_key", "at", line.alias("line"))
-    hits = each.filter("line <> ''").withColumn("key", F.unhex(F.md5("line"))).join(frequent, "key").select("_text_key", "at")
+    filters = stored(filters_of(frequent.withColumn("n_docs", F.lit(min_docs)), min_docs, shards), "line-filters")
+    keyed = each.filter("line <> ''").select("_text_key", "at", F.unhex(F.md5("line")).alias("key"))
+    hits = through_filters(keyed, filters, shards).join(frequent, "key").select("_text_key", "at")
     drops = stored(hits.groupBy("_text_key").agg(F.collect_list("at").alias("_gone")), "dropped-lines")
     joined = rows.join(drops, "_text_key", "left").withColumn("_lines", lines)
     gone = F.coalesce("_gone", F.array().cast("array<int>"))

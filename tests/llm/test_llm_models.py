@@ -203,6 +203,25 @@ def test_bpe_model_agrees_with_the_library(spark, odd, odd_rows, small):
     assert back == {r[0]: r[1] for r in odd_rows}
 
 
+@pytest.mark.parametrize("options", [{}, {"squeeze": True}, {"prefix": False, "squeeze": True}], ids=str)
+def test_parity_is_that_of_whole_texts(options):
+    """Where the rebuilt normaliser and the library part ways, as for a tab at the edge of a squeezed text, parity says so."""
+    import sentencepiece
+
+    raw = unigram_model(**options)
+    theirs = sentencepiece.SentencePieceProcessor(model_proto=raw)
+    texts = [*ODD_TEXTS, "\tab", "ab\t", " \t a  b ", "\n"]
+    flat, bounds, same, back = sp.Encoder(raw).encode(texts)
+    found = [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)]
+    assert same.tolist() == [a == b for a, b in zip(found, theirs.encode(texts), strict=True)] and same.any()
+
+
+def test_two_threads_give_the_ids_of_one(odd):
+    raw = sp.model_bytes(MODEL_PATH)
+    one, two = ({r.doc_id: r.ids for r in sp.encode(odd, raw, threads=n).collect()} for n in (1, 2))
+    assert one == two
+
+
 def test_encoder_starts_anew_when_full():
     raw = sp.model_bytes(MODEL_PATH)
     small_one, large = sp.Encoder(raw, most_words=3), sp.Encoder(raw)

@@ -155,6 +155,19 @@ def test_sketches_estimate_similarity():
     assert len(set(minhash.sketch(np.array([7], np.uint64)).tolist())) == minhash.COORDINATES
 
 
+@pytest.mark.parametrize("rows_per_task", [7, 500_000])
+def test_lines_meet_filters_beyond_the_broadcast_bound(spark, odd, rows_per_task):
+    """Every frequent key passes its shard's filter, hardly any other does, and one frequent line is spread over tasks."""
+    keys = spark.range(3000).selectExpr("unhex(md5(string(id))) as key", "if(id % 5 = 0, 20L, 1L) as n_docs")
+    filters = line_dedup.filters_of(keys, 10, 4)
+    lines = keys.selectExpr("unhex(md5('text')) as _text_key", "0 as at", "key").union(spark.range(900).selectExpr("unhex(md5('text'))", "int(id)", "unhex(md5('0'))"))
+    found = line_dedup.through_filters(lines, filters, 4, rows_per_task)
+    passed = {r["key"]: r["count"] for r in found.groupBy("key").count().collect()}
+    frequent = {r["key"] for r in keys.filter("n_docs >= 10").collect()}
+    assert frequent <= set(passed) and len(passed) < 620 and max(passed.values()) == 901
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}], ids=["sent", "shuffled"])
 @pytest.mark.parametrize("span", [2, 3])
 def test_sentence_spans(odd, odd_rows, span, options):
