@@ -60,6 +60,30 @@ def test_odd_texts_and_languages(spark, odd, nothing):
     assert {(r.lang_pred, r.score) for r in language_id.predict(odd, single).collect()} == {("en", 1.0), ("und", 0.0)}
 
 
+def test_decoding_agrees_with_a_plain_restatement(spark, odd, small):
+    texts = [t for _, t, _, _ in small[:60]] + [r.text for r in odd.select("text").collect()]
+    labelled = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in small[:400]], "doc_id long, text string, lang string")
+    model = language_id.train(labelled)
+    rows = language_id.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        text = texts[row.doc_id]
+        if not any(c.isalpha() for c in text or ""):
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        seen = language_id.frequencies([text])[0].astype(float)
+        losses = []
+        for word, trust in zip(model.code, model.trust, strict=True):
+            loss = 0.0
+            for bit in range(model.code.shape[1]):
+                margin = sum(seen[g] * model.weights[g, bit] for g in np.flatnonzero(seen)) - model.border[bit]
+                loss += trust[bit] * np.exp(-max(-3.0, min(3.0, margin)) * (1 if word[bit] else -1))
+            losses.append(loss)
+        order = np.argsort(losses)
+        if losses[order[1]] - losses[order[0]] > 1e-4:
+            assert row.lang_pred == model.languages[order[0]]
+
+
 # Mixing
 
 
@@ -79,6 +103,35 @@ def test_fit_is_the_best_subset_sum(lengths, budget, capacity):
         assert reached == max(s for s in sums if s <= budget)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(60_000, 300_000), min_size=1, max_size=12), st.floats(0.05, 0.95), st.sampled_from([1, 1000]))
+def test_fit_exchanges_long_documents(lengths, share, step):
+    size, count = np.unique(np.array(lengths) // step * step, return_counts=True)
+    sums = np.array([0])
+    for n in np.repeat(size, count):
+        sums = np.unique(np.r_[sums, sums + n])
+    budget = int(share * sums[-1])
+    taken = mixing.fit(size, count, budget)
+    assert ((taken >= 0) & (taken <= count)).all()
+    assert int((size * taken).sum()) == sums[sums <= budget].max()
+
+
+def test_fit_of_many_lengths_misses_nothing():
+    assert mixing.fit(np.array([60_000, 40_000, 90_000]), np.ones(3, int), 100_000).tolist() == [1, 1, 0]
+    size = np.r_[1, np.arange(2, 4000, 2)]
+    count = np.r_[1, np.arange(1999) % 300 + 1]
+    half = int((size * count).sum()) // 2
+    for budget in (half, half + 1):
+        assert int((size * mixing.fit(size, count, budget)).sum()) == budget
+
+
+def test_quotas_of_a_very_frequent_length(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    docs = spark.createDataFrame([(i, "three words here", "a") for i in range(900)], "doc_id long, text string, source string")
+    made = mixing.decide(docs, {"a": 1}, share=0.5).collect()
+    assert sum(r.copies for r in made) == 450 and {r.copies for r in made} == {0, 1}
+
+
 def test_targets_share_the_excess():
     found = mixing.targets({"a": 10, "b": 100, "c": 100, None: 0}, {"a": 3, "b": 1, "c": 2, None: 3}, 1.5, 2)
     assert found["a"] == 20 and found[None] == 0
@@ -257,6 +310,37 @@ def test_label_model_finds_the_accuracies():
     assert np.abs(np.array(list(model.accuracy().values())) - right).max() < 0.05
 
 
+def test_label_model_agrees_with_a_plain_restatement():
+    chance = np.random.default_rng(9)
+    k = len(weak_quality.LABELLERS)
+    rows = [[int(v) for v in chance.choice([-1, 0, 1], k, p=[0.2, 0.3, 0.5])] for _ in range(60)]
+    patterns, counts = np.unique([weak_quality.pattern(v) for v in rows], return_counts=True)
+    model = weak_quality.fit_labels(patterns, counts, rounds=25)
+    by_pattern = {weak_quality.pattern(v): v for v in rows}
+    # The same row by row: every document has its own belief, no counts of patterns.
+    belief = []
+    for votes in rows:
+        against = votes.count(-1)
+        belief.append(0.1 if against >= 2 else 0.9 if against == 0 else 0.5)
+    for _ in range(25):
+        good = min(max(sum(belief) / len(rows), 0.01), 0.99)
+        says = {}
+        for label in range(k):
+            for kind in (0, 1):
+                mass = {v: 1.0 + sum((b if kind else 1 - b) for b, votes in zip(belief, rows, strict=True) if votes[label] == v) for v in (-1, 1)}
+                says[label, kind] = {-1: mass[-1] / sum(mass.values()), 0: 1.0, 1: mass[1] / sum(mass.values())}
+        belief = []
+        for votes in rows:
+            one, other = good, 1 - good
+            for label, v in enumerate(votes):
+                one, other = one * says[label, 1][v], other * says[label, 0][v]
+            belief.append(one / (one + other))
+    found = dict(zip(patterns.tolist(), model.posterior(patterns).tolist(), strict=True))
+    for votes, b in zip(rows, belief, strict=True):
+        assert abs(found[weak_quality.pattern(votes)] - b) < 1e-6
+    assert len(by_pattern) == len(patterns)
+
+
 def test_quality_without_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
