@@ -185,8 +185,9 @@ def _across(members: DataFrame, least: float, sets: DataFrame | None = None, sim
 
     ``members``: (band, key, n, class, component, sketch) with ``n`` members in the bucket. A
     bucket of many is cut into parts of about ``TILE`` members by hash, and a tile holds two
-    parts. Only pairs that agree and share no earlier band are written; with ``sets``, they
-    have passed the exact test as well, made inside the tile.
+    parts. Only pairs that agree and share no earlier band are written. With ``sets`` the exact
+    test is made inside the tile, and what it links is one component there from then on: a
+    tile writes a tree, fewer links than it has members.
     """
     keys = ["band", "key", "low", "high"]
     if sets is not None:
@@ -217,8 +218,9 @@ def _across(members: DataFrame, least: float, sets: DataFrame | None = None, sim
             for start, end in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
                 rows = np.arange(start, end)
                 left, right = rows[part[rows] == low[start]], rows[part[rows] == high[start]]
+                here = label[start:end].copy()
                 for x in left.tolist():
-                    y = right[label[right] != label[x]]
+                    y = right[here[right - start] != here[x - start]]
                     y = y[y > x] if low[start] == high[start] else y
                     y = y[(lead[y] == lead[x]).argmax(axis=1) == band[start]] if len(y) else y
                     y = y[agreement(sketches[y], sketches[x]) >= least] if len(y) else y
@@ -230,6 +232,9 @@ def _across(members: DataFrame, least: float, sets: DataFrame | None = None, sim
                         at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
                         both = np.add.reduceat((mine[at] == every).astype(np.int64), np.cumsum(sizes) - sizes)
                         y = y[both * den >= (sizes + len(mine) - both) * num]
+                        joined, once = np.unique(here[y - start], return_index=True)
+                        here[np.isin(here, joined)] = here[x - start]
+                        y = y[once]
                     a += [names[x]] * len(y)
                     b += [names[i] for i in y.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])

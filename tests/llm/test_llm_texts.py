@@ -4,6 +4,7 @@ import llm_brute as brute
 import numpy as np
 import pytest
 from llm_cases import nothing, odd, odd_rows, small  # noqa: F401
+from pyspark.sql import functions as F
 
 from sparkwell.llm import line_dedup, minhash, sentence_spans, suffix_dedup
 from sparkwell.llm.shared import components
@@ -137,6 +138,27 @@ def test_chains_in_a_crowded_bucket(spark, monkeypatch):
         assert {r.component_id for r in minhash.groups(rows, 5).collect()} == {0}
 
 
+def test_a_crowded_tile_writes_a_tree(spark):
+    """All members link with all others: a bucket without any link yet gives fewer links than members, yet one group."""
+    shared = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*shared, f"x{i}"])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    classes = minhash._sketched(docs, 5).select("class", "sketch", F.lit(0).alias("band"), F.lit(0).cast("long").alias("key"), F.lit(60).cast("long").alias("n"))
+    sets = minhash._sets_of(docs, minhash._sketched(docs, 5).select("class", "id", "n_shingles"), 5)
+    # One band for all: the first in which two sketches agree is not asked for here.
+    same = F.concat(F.lit(bytes(8)), F.expr("substring(sketch, 9)"))
+    members = classes.withColumn("component", F.col("class")).withColumn("sketch", same)
+    pairs = minhash._across(members, 0.5, sets).collect()
+    linked = {frozenset(p) for p in pairs}
+    assert len(pairs) == len(linked) == 59
+    group, open_ = set(), [bytes(pairs[0].a)]
+    while open_:
+        node = open_.pop()
+        group.add(node)
+        open_ += [bytes(x) for p in pairs if node in map(bytes, p) for x in p if bytes(x) not in group]
+    assert len(group) == 60
+
+
 def test_one_of_each_group_stays(spark):
     text = " ".join(f"t{i}" for i in range(60))
     rows = [(5, text), (5, text), (3, text + " more"), (None, text), (7, ""), (7, ""), (8, None), (9, "alone in the world of words")]
