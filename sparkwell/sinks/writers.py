@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkwell import storage, views
 from sparkwell.operators.aggregates import summary
 from sparkwell.registry import query
+from sparkwell.session import shuffle_partitions
 from sparkwell.sources import readers
 from sparkwell.studies.fire import with_moments
 from sparkwell.tables import table
@@ -30,6 +31,11 @@ def save_table(rows: DataFrame, name: str) -> None:
     rows.write.mode("overwrite").saveAsTable(name)
 
 
+def files_of(spark: SparkSession, fmt: str, path: str) -> DataFrame:
+    """(file, n): the rows in each file below ``path`` that has any."""
+    return spark.read.format(fmt).load(path).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+
+
 def round_trip(rows: DataFrame, fmt: str, schema: bool = False, **options: str) -> DataFrame:
     spark = rows.sparkSession
     path = storage.new_path(spark, f"sink-{fmt}")
@@ -102,3 +108,27 @@ def sink_coalesce_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = storage.new_path(spark, "sink-one")
     save_report(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_quantity", "parquet", path)
     return readers.read_as(spark, "parquet", path)
+
+
+@query(
+    "sink_files_per_partition",
+    """SELECT CAST(times AS INTEGER) AS times, true AS a_file_each, true AS even, count(*) AS n
+       FROM lineitem, (VALUES (1), (2), (4)) AS v (times) GROUP BY times""",
+)
+def sink_files_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written from 1, 2 and 4 times as many partitions as a shuffle has: a file for each, none with twice its share.
+
+    Lines are dealt out evenly; fewer files are neighbouring partitions put together, without a shuffle.
+    """
+    least = max(16, shuffle_partitions(spark))
+
+    def write(path: str) -> None:
+        lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").repartition(4 * least)
+        for times in (4, 2, 1):
+            save(lines if times == 4 else lines.coalesce(times * least), "parquet", f"{path}/times={times}")
+
+    path = storage.staged(spark, f"files-per-partition-{least}", sf_dir, write)
+    each = files_of(spark, "parquet", path).withColumn("times", F.regexp_extract("file", r"/times=(\d+)/", 1).cast("int"))
+    files = F.col("times") * least
+    counted = each.groupBy("times").agg(F.count("*").alias("files"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    return counted.select("times", (F.col("files") == files).alias("a_file_each"), (F.col("most") * files < 2 * F.col("n")).alias("even"), "n")

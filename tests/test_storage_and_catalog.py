@@ -148,6 +148,44 @@ def test_databases_and_tables_come_and_go(spark, sf_dir):
     assert database not in [d.name for d in spark.catalog.listDatabases()]
 
 
+def test_the_life_of_a_table_leaves_nothing(spark, sf_dir):
+    before = {d.name for d in spark.catalog.listDatabases()}, {t.name for t in spark.catalog.listTables()}
+    steps = all_queries()["cat_table_life"](spark, sf_dir).orderBy("step").collect()
+    assert [r.action for r in steps if r.present] == ["create view", "create table", "cache table", "uncache table"]
+    assert [r.action for r in steps if r.cached] == ["cache table"]
+    assert len({r.n for r in steps if r.present}) == 1 and all(r.n is None and r.ddl is None for r in steps if not r.present)
+    assert before == ({d.name for d in spark.catalog.listDatabases()}, {t.name for t in spark.catalog.listTables()})
+
+
+def test_the_life_of_an_empty_table_with_odd_columns(spark):
+    database = storage.new_database(spark)
+    rows = spark.createDataFrame([], "n long, step array<struct<a: int, b: string>>")
+    steps = catalog.life_of_table(spark, database, "empty", rows).collect()
+    assert {r.n for r in steps if r.present} == {0}
+    assert {r.ddl for r in steps if r.present} == {"n BIGINT,step ARRAY<STRUCT<a: INT, b: STRING>>"}
+    assert not spark.catalog.listTables(database) or {t.isTemporary for t in spark.catalog.listTables(database)} == {True}
+
+
+def test_a_failed_step_leaves_no_view_and_no_table(spark):
+    database = storage.new_database(spark)
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        catalog.life_of_table(spark, database, "broken", broken)
+    assert not spark.catalog.tableExists(f"{database}.broken") and not spark.catalog.tableExists(f"{database}_broken")
+
+
+def test_files_with_rows_are_counted(spark, tmp_path):
+    rows = spark.range(1000)
+    for n in (2, 5):
+        path = str(tmp_path / f"f{n}")
+        writers.save(rows.repartition(n), "json", path)
+        counts = [r.n for r in writers.files_of(spark, "json", path).collect()]
+        assert len(counts) == n and sum(counts) == 1000 and max(counts) - min(counts) <= 8, "round-robin of at most 8 partitions"
+    path = str(tmp_path / "none")
+    writers.save(rows.filter("id < 0"), "parquet", path)
+    assert writers.files_of(spark, "parquet", path).count() == 0
+
+
 def test_cached_tables_are_known_and_shared(spark):
     spark.range(100).selectExpr("id", "id * id AS square").createOrReplaceTempView("cache_me")
     spark.sql("CACHE TABLE cache_me")
