@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from sparkwell import storage
 from sparkwell.functions.clock import call_text, compact_text, day_text, log_text
 from sparkwell.functions.patterns import LOG_LINE
+from sparkwell.session import shuffles_for
+from sparkwell.skew import broadcast_if_small
 from sparkwell.tables import table
 
 
@@ -154,27 +156,28 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flight_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights with the columns that tell two legs apart, for sorting; joined once per application and state of the tables."""
-    path = storage.staged(spark, "flight-legs", sf_dir, lambda path: _joined_legs(spark, sf_dir).write.parquet(path))
-    return spark.read.schema(LEG_SCHEMA).parquet(path)
+
+    def write(path: str) -> None:
+        with shuffles_for(spark, table(spark, sf_dir, "lineitem").count()):
+            _joined_legs(spark, sf_dir).write.parquet(path)
+
+    return spark.read.schema(LEG_SCHEMA).parquet(storage.staged(spark, "flight-legs", sf_dir, write))
 
 
 def _joined_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    origin = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin")
-    )
-    destination = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("destination")
-    )
-    placed = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(destination, "c_nationkey")
-    )
-    supplied = table(spark, sf_dir, "supplier").join(origin, "s_nationkey")
+    """The lines are shuffled once, to meet their orders: suppliers go to them while small, and nations, as keys, get their names last."""
+
+    def named(key: str, name: str) -> DataFrame:
+        return broadcast_if_small(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name)))
+
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    placed = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return (
         table(spark, sf_dir, "lineitem")
-        .join(supplied, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(broadcast_if_small(suppliers, max_rows=1_000_000), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(named("s_nationkey", "origin"), "s_nationkey")
+        .join(named("c_nationkey", "destination"), "c_nationkey")
         .select(
             compact_text(F.col("l_shipdate")).alias("date"),
             F.datediff("l_shipdate", "o_orderdate").alias("delay"),

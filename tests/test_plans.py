@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from conftest import plan_of, rows_of
 from sparkwell.all_queries import all_queries
 from sparkwell.studies.ranges import id_sum, join_count
 
@@ -132,3 +132,27 @@ def test_only_the_wanted_nested_fields_are_read(spark, sf_dir):
 def test_legs_are_joined_once_and_not_by_every_query(key, spark, sf_dir):
     plan = plan_of(all_queries()[key](spark, sf_dir))
     assert "Join" not in plan and "flight-legs" in plan
+
+
+def test_the_joined_legs_shuffle_the_lines_once(spark, sf_dir, no_broadcast):
+    from sparkwell import views
+
+    plan = plan_of(views._joined_legs(spark, sf_dir))
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_suppkey" not in plan
+    assert plan.count("Exchange hashpartitioning") == 4  # orders meet customers, then lines
+
+
+def test_legs_are_joined_in_as_many_partitions_as_their_rows_fill(spark, sf_dir, tmp_path, monkeypatch, no_broadcast):
+    from sparkwell import session, views
+
+    linked = tmp_path / "sf"
+    linked.symlink_to(sf_dir)
+    monkeypatch.setattr(session, "ROWS_A_PARTITION", 100, raising=False)
+    before = session.shuffle_partitions(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        legs = views.flight_legs(spark, str(linked))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(legs.inputFiles()) > 40 > before == session.shuffle_partitions(spark)
+    assert rows_of(legs) == rows_of(views.flight_legs(spark, sf_dir))
