@@ -6,14 +6,24 @@ between range partitions and a limit always keeps the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwell import views
 from sparkwell.registry import query
+from sparkwell.session import partitions_for, shuffle_partitions
 from sparkwell.tables import table
 
 
+def in_order(rows: DataFrame, order: list[str | Column], at_most: int) -> DataFrame:
+    """``rows``, of which there are ``at_most`` that many, in total order: the ranges are as many as a task each can sort in memory."""
+    spark = rows.sparkSession
+    ranges = partitions_for(spark, at_most)
+    if ranges > shuffle_partitions(spark):
+        rows = rows.repartitionByRange(ranges, *order)  # the sort takes these ranges and shuffles no more
+    return rows.orderBy(*order)
+
+
 @query("sort_desc", "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem")
 def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")

@@ -9,6 +9,7 @@ from sparkwell import views
 from sparkwell.functions.conditions import delay_class_open, delay_class_stepped
 from sparkwell.operators.aggregates import MONTHS, as_doubles, delay_pivot
 from sparkwell.operators.filters import HUB_DESTINATIONS, HUBS
+from sparkwell.operators.sorting import in_order
 from sparkwell.operators.windows import top_by_dense_rank
 from sparkwell.registry import query
 
@@ -24,14 +25,15 @@ def classified(legs: DataFrame, rule) -> DataFrame:
 
     The order ends with the leg itself: however many legs share a delay, a sort can cut between them.
     """
-    ordered = legs.orderBy("origin", F.desc("delay"), "destination", *views.LEG)
+    ordered = in_order(legs, ["origin", F.desc("delay"), "destination", *views.LEG], legs.count())
     return ordered.select("delay", "origin", "destination", rule(F.col("delay")).alias("Flight_Delays"))
 
 
 @query("flights_q1", "SELECT distance, origin, destination FROM v_flights WHERE distance > 1000")
 def flights_q1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long_legs = views.flight_legs(spark, sf_dir).filter(F.col("distance") > 1000)
-    ordered = long_legs.orderBy(F.desc("distance"), "origin", "destination", *views.LEG)
+    legs = views.flight_legs(spark, sf_dir)
+    long_legs = legs.filter(F.col("distance") > 1000)
+    ordered = in_order(long_legs, [F.desc("distance"), "origin", "destination", *views.LEG], legs.count())
     return ordered.select("distance", "origin", "destination")
 
 

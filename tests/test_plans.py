@@ -1,5 +1,7 @@
 """The plans are the ones wanted at scale."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +158,16 @@ def test_legs_are_joined_in_as_many_partitions_as_their_rows_fill(spark, sf_dir,
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(legs.inputFiles()) > 40 > before == session.shuffle_partitions(spark)
     assert rows_of(legs) == rows_of(views.flight_legs(spark, sf_dir))
+
+
+@pytest.mark.parametrize("key", ["flights_q1", "flights_q3_case", "flights_q3_when"])
+def test_legs_are_sorted_in_as_many_ranges_as_their_rows_fill(key, spark, sf_dir, monkeypatch):
+    from sparkwell import session
+
+    few = all_queries()[key](spark, sf_dir)
+    monkeypatch.setattr(session, "ROWS_A_PARTITION", 100, raising=False)
+    many = all_queries()[key](spark, sf_dir)
+    plan = plan_of(many)
+    assert plan.count("rangepartitioning(") == plan.count("Exchange") == 1
+    assert int(re.search(r"rangepartitioning\(.*, (\d+)\), REPARTITION_BY_NUM", plan)[1]) > 40
+    assert many.collect() == few.collect()
