@@ -1,11 +1,12 @@
 """Histories as periods, and the join of periods that overlap in time.
 
 Two periods meet if each begins before the other ends. Compared pair by pair, a long history
-would meet another one squared. Here every key's time is cut into bins with about equally many
-beginnings, found by a running count over its times (a segmented scan, so a key of any length is
-spread). A period goes to every bin it touches, periods meet by key and bin, and a pair counts in
-the bin where the later of the two begins, which both touch. A bin holds a bounded number
-of beginnings and what runs through it, so no task gets a whole history.
+would meet another one squared. Keys with no more periods than a bin may hold are compared that way;
+the time of every other key is cut into bins with about equally many beginnings, found by a running
+count over its times (a segmented scan, so a key of any length is spread). A period goes to every bin
+it touches, periods meet by key and bin, and a pair counts in the bin where the later of the two begins,
+which both touch. A bin holds a bounded number of beginnings and what runs through it, so no task gets
+a whole history.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 from sparkwell import storage, views
 from sparkwell.operators.scans import neighbours, running
 from sparkwell.registry import query
+from sparkwell.skew import broadcast_if_small
 
-#: Beginnings in a bin.
+#: Beginnings in a bin, and periods of a key that needs none.
 BIN = 64
 
 
@@ -31,7 +33,8 @@ def periods(history: DataFrame, key: str, at: str, order: Sequence[str], value:
     history = history.select(key, *dict.fromkeys([at, *order, value]))
     if only_changes:
         first = neighbours(history.withColumn("here", F.lit(True)), key, order, {"value_before": (value, -1), "before": ("here", -1)}, share)
-        history = first.filter(F.col("before").isNull() | ~F.col("value_before").eqNullSafe(F.col(value))).select(history.columns)
+        changes = first.filter(F.col("before").isNull() | ~F.col("value_before").eqNullSafe(F.col(value))).select(history.columns)
+        history = storage.written(changes, "changes")  # what follows reads it twice
     ended = neighbours(history, key, order, {"until": (at, 1)}, share)
     return ended.select(key, F.col(at).alias("since"), "until", value)
 
@@ -51,6 +54,26 @@ def overlapping(left: DataFrame, right: DataFrame, key: str, per_bin: int = BIN,
     """
     sound = F.col(key).isNotNull() & F.col("since").isNotNull() & F.col("until").isNotNull()
     left, right = left.filter(sound), right.filter(sound)
+    each = left.select(key).unionAll(right.select(key)).groupBy(key).count()
+    crowded = storage.written(each.filter(F.col("count") > per_bin).select(key), "crowded-keys")
+    if crowded.isEmpty():
+        return _meeting(left, right, [key])
+    some = broadcast_if_small(crowded)
+    few = _meeting(*(side.join(some, key, "left_anti") for side in (left, right)), [key])
+    return few.unionByName(_meeting_in_bins(*(side.join(some, key, "left_semi") for side in (left, right)), key, per_bin, share))
+
+
+def _meeting(left: DataFrame, right: DataFrame, same: Sequence[str], *own: str) -> DataFrame:
+    """Pairs that agree in ``same`` and overlap, by comparing all that agree; columns in ``own`` are told apart by side."""
+    twice = ("since", "until", *own)
+    a, b = (side.withColumnsRenamed({c: f"{c}_{name}" for c in twice}) for side, name in ((left, "left"), (right, "right")))
+    met = a.join(b, list(same)).filter((F.col("since_left") < F.col("until_right")) & (F.col("since_right") < F.col("until_left")))
+    both = met.withColumns({"since": F.greatest("since_left", "since_right"), "until": F.least("until_left", "until_right")})
+    rest = [c for c in [*left.columns, *right.columns] if c not in (*same, *twice)]
+    return both.select(*same, "since", "until", *rest, *(f"{c}_{name}" for c in own for name in ("left", "right")))
+
+
+def _meeting_in_bins(left: DataFrame, right: DataFrame, key: str, per_bin: int, share: float | None) -> DataFrame:
     times = None
     for side in (left, right):
         for column, begins in (("since", 1), ("until", 0)):
@@ -60,16 +83,9 @@ def overlapping(left: DataFrame, right: DataFrame, key: str, per_bin: int = BIN,
     counted = running(each, "key", ("time",), {"so_far": ("sum", "begins")}, share)
     numbered = counted.select("key", "time", F.floor((F.col("so_far") - F.col("begins")) / per_bin).alias("bin"))
     bins = storage.written(numbered, "time-bins")
-    a, b = _binned(left, bins, key), _binned(right, bins, key)
-    a = a.withColumnsRenamed({c: f"{c}_left" for c in ("since", "until", "first_bin", "last_bin")})
-    b = b.withColumnsRenamed({c: f"{c}_right" for c in ("since", "until", "first_bin", "last_bin")})
-    met = a.join(b, [key, "bin"]).filter(
-        (F.col("since_left") < F.col("until_right"))
-        & (F.col("since_right") < F.col("until_left"))
-        & (F.col("bin") == F.greatest("first_bin_left", "first_bin_right"))
-    )
-    own = [c for c in [*left.columns, *right.columns] if c not in (key, "since", "until")]
-    return met.select(key, F.greatest("since_left", "since_right").alias("since"), F.least("until_left", "until_right").alias("until"), *own)
+    met = _meeting(_binned(left, bins, key), _binned(right, bins, key), [key, "bin"], "first_bin", "last_bin")
+    told = met.filter(F.col("bin") == F.greatest("first_bin_left", "first_bin_right"))
+    return told.drop("bin", *(f"{c}_{name}" for c in ("first_bin", "last_bin") for name in ("left", "right")))
 
 
 _PERIODS = """

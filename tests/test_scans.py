@@ -125,3 +125,16 @@ def test_periods_join_equal_records(spark):
     history = spark.createDataFrame(rows, "k long, id long, at int, v string")
     found = intervals.periods(history, "k", "at", ("at", "id"), "v", only_changes=True)
     assert rows_of(found) == sorted([(1, 10, 30, "a"), (1, 30, 50, None), (1, 50, None, "a"), (2, 5, None, "b")], key=repr)
+
+
+@pytest.mark.parametrize("per_bin", [20, 10_000])
+def test_only_keys_with_more_periods_than_a_bin_are_cut_into_bins(spark, per_bin, monkeypatch):
+    """Key 1 has 40 periods a side, all others have 8 at most."""
+    rows = [(1, i, i + 3) for i in range(40)] + [(k, i, i + k % 4) for k in range(2, 30) for i in range(4)]
+    binned = []
+    whole = intervals._binned
+    monkeypatch.setattr(intervals, "_binned", lambda side, *rest: binned.append({r.k for r in side.select("k").distinct().collect()}) or whole(side, *rest))
+    left, right = (spark.createDataFrame([(*row, f"{c}{n}") for n, row in enumerate(rows)], f"k long, since int, until int, {c} string") for c in "xy")
+    found = intervals.overlapping(left, right, "k", per_bin=per_bin)
+    assert sorted(map(tuple, found.collect())) == met_by_hand(*([(*row, f"{c}{n}") for n, row in enumerate(rows)] for c in "xy"))
+    assert binned == ([{1}, {1}] if per_bin == 20 else [])
