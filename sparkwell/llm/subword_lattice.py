@@ -25,7 +25,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,11 @@ NEVER = -1e30
 #: Expected counts are rounded to this share, so sums don't depend on their order.
 UNIT = 1 << 16
 DISCOUNT = 0.75
-#: Cells of a block of words that is worked on at once.
+#: Cells of a block of words that is worked on at once, and words that are sorted into such blocks.
 CELLS = 1 << 22
+WORDS = 1 << 16
+#: Bits of a hashed window that tell most windows without a piece.
+SIEVE = 20
 
 
 def learns(id_col: str, folds: int = 7, aside: int = 2) -> Column:
@@ -62,12 +66,14 @@ class Pieces:
         codes = [[MARKER if c == MARK and i == 0 else ord(c) for i, c in enumerate(p)] for p, _ in usable]
         self.n = len(usable) + 256
         self.longest = max(map(len, codes), default=1)
-        self.table: list[tuple[np.ndarray, np.ndarray]] = []
+        self.table: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for size in range(1, self.longest + 1):
             at = np.array([i for i, c in enumerate(codes) if len(c) == size], np.int64)
             hashed = self._windows(np.array([codes[i] for i in at.tolist()], np.uint64).reshape(-1, size))
             order = np.argsort(hashed)
-            self.table.append((hashed[order], at[order].astype(np.int32)))
+            sieve = np.zeros(1 << SIEVE, bool)
+            sieve[self._sieved(hashed)] = True
+            self.table.append((hashed[order], at[order].astype(np.int32), sieve))
         scores = np.array([s for _, s in usable])
         if model.kind == UNIGRAM:
             weight = np.exp(scores - scores.max(initial=0.0))
@@ -83,6 +89,10 @@ class Pieces:
             made = made * MULTIPLIER + column + np.uint64(1)
         return made
 
+    @staticmethod
+    def _sieved(hashed: np.ndarray) -> np.ndarray:
+        return ((hashed * MULTIPLIER) >> np.uint64(64 - SIEVE)).astype(np.int64)
+
     def edges(self, codes: np.ndarray) -> np.ndarray:
         """(end, size, word): the piece of ``size + 1`` code points that ends after code point ``end``, or -1."""
         words, width = codes.shape
@@ -90,10 +100,12 @@ class Pieces:
         hashed = np.zeros(codes.shape, np.uint64)
         for size in range(found.shape[1]):
             hashed = hashed[:, : width - size] * MULTIPLIER + codes[:, size:].astype(np.uint64) + np.uint64(1)
-            known, piece = self.table[size]
+            known, piece, sieve = self.table[size]
             if len(known):
-                spot = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-                found[size:, size] = np.where(known[spot] == hashed, piece[spot], -1).T
+                word, start = np.nonzero(sieve[self._sieved(hashed)])
+                wanted = hashed[word, start]
+                spot = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+                found[start + size, size, word] = np.where(known[spot] == wanted, piece[spot], -1)
         return found
 
     def spelled(self, code: int) -> list[int]:
@@ -114,13 +126,18 @@ class Lattice:
 
     pieces: Pieces
     codes: np.ndarray
-    edges: np.ndarray = field(init=False)
+    edges: np.ndarray | None = None
 
     def __post_init__(self):
-        self.edges = self.pieces.edges(self.codes)
+        if self.edges is None:
+            self.edges = self.pieces.edges(self.codes)
         self.lone = np.argwhere(self.edges[:, 0] < 0)
         self.unknown = self.codes[self.lone[:, 1], self.lone[:, 0]]
 
+    def of(self, words: np.ndarray) -> Lattice:
+        """The lattice of some of the words; no window is looked up again."""
+        return self if len(words) == len(self.codes) else Lattice(self.pieces, self.codes[words], self.edges[:, :, words])
+
     def _by_bytes(self, weights: np.ndarray) -> np.ndarray:
         """(class, code point, word): the weight of code points that have no piece."""
         made = np.full((len(weights), *self.edges.shape[::2]), NEVER)
@@ -153,6 +170,7 @@ class Lattice:
         rest = np.full((width + 1, words), NEVER)
         rest[width] = 0.0
         made = np.zeros((counts.shape[1], self.pieces.n), np.int64)
+        used, uses_of = [], [[] for _ in made]
         for start in range(width - 1, -1, -1):
             sizes = min(width - start, most)
             piece = np.stack([self.edges[start + s, s] for s in range(sizes)])
@@ -160,13 +178,18 @@ class Lattice:
             edge[0] = np.maximum(edge[0], byte[start])
             onward = edge + rest[start + 1 : start + 1 + sizes]
             rest[start] = _added(onward[None])[0]
-            share = np.exp(reach[start] + onward - reach[width])
+            size, word = np.nonzero(piece >= 0)
+            share = np.exp(reach[start, word] + onward[size, word] - reach[width, word])
+            used.append(piece[size, word])
+            lone = np.flatnonzero(piece[0] < 0)
+            of_lone = np.exp(reach[start, lone] + onward[0, lone] - reach[width, lone])
             for column in range(counts.shape[1]):
-                uses = np.rint(share * counts[:, column] * UNIT)
-                real = piece >= 0
-                made[column] += np.bincount(piece[real], uses[real], self.pieces.n).astype(np.int64)
-                for w in np.flatnonzero((piece[0] < 0) & (uses[0] > 0)).tolist():
-                    np.add.at(made[column], self.pieces.spelled(int(self.codes[w, start])), int(uses[0, w]))
+                uses_of[column].append(np.rint(share * counts[word, column] * UNIT))
+                by_bytes = np.rint(of_lone * counts[lone, column] * UNIT)
+                for i in np.flatnonzero(by_bytes > 0).tolist():
+                    np.add.at(made[column], self.pieces.spelled(int(self.codes[lone[i], start])), int(by_bytes[i]))
+        for column, uses in enumerate(uses_of):
+            made[column] += np.bincount(np.concatenate(used), np.concatenate(uses), self.pieces.n).astype(np.int64)
         return made
 
 
@@ -239,6 +262,31 @@ def _matrix(batch: pa.RecordBatch, classes: int) -> np.ndarray:
     return np.stack([batch.column(batch.schema.get_field_index(f"c{i}")).to_numpy() for i in range(classes)], axis=1)
 
 
+def _together(batches: Iterator[pa.RecordBatch], rows: int = WORDS, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to about that many rows or bytes, as words of one length are worked on together."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def expected_uses(pieces: Pieces, words: list[str], counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """(class, piece): expected uses by the words' counts (word, class); windows are looked up once, for all classes."""
+    made = np.zeros(weights.shape, np.int64)
+    shared = (weights == weights[0]).all()
+    for part, lattice in lattices(pieces, words):
+        c = counts[part]
+        for columns in [slice(None)] if shared else [slice(k, k + 1) for k in range(len(weights))]:
+            some = np.flatnonzero(c[:, columns].any(axis=1))
+            if len(some):
+                made[columns] += lattice.of(some).expected(weights[columns][0], c[some][:, columns])
+    return made
+
+
 def _expected(counts: DataFrame, raw: bytes, weights: np.ndarray) -> np.ndarray:
     """(class, piece): expected uses of every piece in the training documents of each class; one forward pass a set of equal weights."""
     sent = counts.sparkSession.sparkContext.broadcast((raw, weights))
@@ -246,14 +294,9 @@ def _expected(counts: DataFrame, raw: bytes, weights: np.ndarray) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, weights = sent.value
-        pieces, made = Pieces(raw), np.zeros((classes, len(weights[0])), np.int64)
-        shared = (weights == weights[0]).all()
-        for batch in batches:
-            words, c = batch.column(batch.schema.get_field_index("word")).to_pylist(), _matrix(batch, classes)
-            for columns in [list(range(classes))] if shared else [[k] for k in range(classes)]:
-                at = np.flatnonzero(c[:, columns].any(axis=1))
-                for part, lattice in lattices(pieces, [words[i] for i in at.tolist()]):
-                    made[columns] += lattice.expected(weights[columns[0]], c[at[part]][:, columns])
+        pieces, made = Pieces(raw), np.zeros(weights.shape, np.int64)
+        for batch in _together(batches):
+            made += expected_uses(pieces, batch.column(batch.schema.get_field_index("word")).to_pylist(), _matrix(batch, classes), weights)
         k, piece = np.nonzero(made)
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(piece.astype(np.int32)), pa.array(made[k, piece])], names=["k", "piece", "uses"])
 
@@ -300,7 +343,7 @@ def scored_words(counts: DataFrame, model: Scorer) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         pieces = Pieces(model.raw)
-        for batch in batches:
+        for batch in _together(batches):
             words = batch.column(batch.schema.get_field_index("word"))
             found = model.words(pieces, words.to_pylist(), _matrix(batch, classes))
             lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), classes).cast(pa.list_(pa.float64()))
@@ -342,9 +385,9 @@ def score(docs: DataFrame, words: DataFrame, model: Scorer, id_col: str = "doc_i
         row = TaskContext.get().partitionId() << 33
         for batch in slices(batches, "text", 4 << 20):
             tokens, seen, base, sums, rare, times = [], [], [], [], [], []
-            for raw in batch.column(2).cast(pa.binary()):
-                found = Counter(raw.as_py().lower().split())
-                at = np.fromiter((place(w, -1) for w in found), np.int64, len(found))
+            for raw in batch.column(2).cast(pa.binary()).to_pylist():
+                found = Counter(raw.lower().split())
+                at = np.fromiter(map(place, found, repeat(-1)), np.int64, len(found))
                 n = np.fromiter(found.values(), np.int64, len(found))
                 here = at >= 0
                 spot, m = at[here], n[here]
@@ -352,7 +395,7 @@ def score(docs: DataFrame, words: DataFrame, model: Scorer, id_col: str = "doc_i
                 seen.append(int(m[c0[spot] > 0].sum()))
                 base.append(float(m @ np.log10(c0[spot] + 1.0)))
                 sums.append((m @ p[spot]).tolist())
-                rare.append([w for w, h in zip(found, here.tolist(), strict=True) if not h])
+                rare.append(list(compress(found, ~here)))
                 times.append(n[~here].astype(np.int32))
             size = batch.num_rows
             columns = [batch.column(0), pa.array(np.arange(row, row + size)), batch.column(1), pa.array(tokens, pa.int64()), pa.array(seen, pa.int64())]

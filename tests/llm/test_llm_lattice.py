@@ -180,3 +180,29 @@ def test_nothing_and_no_training(spark, nothing):
     got = sl.log_probabilities(docs, RAW).collect()
     same([tuple(r[c] for c in COLUMNS) for r in got], plain_scores([(r.doc_id, r.text) for r in docs.collect()]))
     assert all(math.isfinite(r.score) for r in got)
+
+
+def test_windows_are_looked_up_once_for_all_classes(pieces, monkeypatch):
+    counts = np.array([[3 + i, i % 3, 2 * (i % 2)] for i in range(len(WORDS))], np.int64)
+    weights = np.stack([pieces.first, *np.log(np.random.default_rng(2).dirichlet(np.ones(pieces.n), 2))])
+    wanted = [sum(lattice.expected(weights[k], counts[at][:, [k]])[0] for at, lattice in sl.lattices(pieces, WORDS)) for k in range(3)]
+    looked, whole = [], sl.Pieces.edges
+    monkeypatch.setattr(sl.Pieces, "edges", lambda self, codes: looked.append(len(codes)) or whole(self, codes))
+    assert (sl.expected_uses(pieces, WORDS, counts, weights) == np.stack(wanted)).all()
+    assert sum(looked) == len(WORDS)
+    looked.clear()
+    assert (sl.expected_uses(pieces, WORDS, counts, weights[[0, 0, 0]]) > 0).any(axis=1).all() and sum(looked) == len(WORDS)
+
+
+def test_the_sieve_keeps_every_window_that_is_a_piece(pieces):
+    chance = np.random.default_rng(3)
+    words = ["".join(chance.choice(list("etaoins\u00e9\u0638"), 12)) for _ in range(300)]
+    for _, lattice in sl.lattices(pieces, words):
+        hashed = np.zeros(lattice.codes.shape, np.uint64)
+        width = lattice.codes.shape[1]
+        for size in range(lattice.edges.shape[1]):
+            hashed = hashed[:, : width - size] * sl.MULTIPLIER + lattice.codes[:, size:].astype(np.uint64) + np.uint64(1)
+            known, piece = pieces.table[size][:2]
+            there = np.isin(hashed, known)
+            assert ((lattice.edges[size:, size].T >= 0) == there).all()
+            assert (lattice.edges[size:, size].T[there] == piece[np.searchsorted(known, hashed[there])]).all()
