@@ -160,6 +160,22 @@ def test_legs_are_joined_in_as_many_partitions_as_their_rows_fill(spark, sf_dir,
     assert rows_of(legs) == rows_of(views.flight_legs(spark, sf_dir))
 
 
+@pytest.mark.parametrize("key", ["flights_window_top3"])
+def test_a_query_alone_joins_its_legs_in_as_many_partitions_as_their_rows_fill(key, spark, sf_dir, tmp_path, monkeypatch, no_broadcast):
+    from sparkwell import session, views
+
+    linked = tmp_path / "sf"
+    linked.symlink_to(sf_dir)
+    monkeypatch.setattr(session, "ROWS_A_PARTITION", 100, raising=False)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        alone = rows_of(all_queries()[key](spark, str(linked)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(views.flight_legs(spark, str(linked)).inputFiles()) > 40
+    assert alone == rows_of(all_queries()[key](spark, sf_dir))
+
+
 @pytest.mark.parametrize("key", ["flights_q1", "flights_q3_case", "flights_q3_when"])
 def test_legs_are_sorted_in_as_many_ranges_as_their_rows_fill(key, spark, sf_dir, monkeypatch):
     from sparkwell import session
