@@ -160,7 +160,7 @@ def test_legs_are_joined_in_as_many_partitions_as_their_rows_fill(spark, sf_dir,
     assert rows_of(legs) == rows_of(views.flight_legs(spark, sf_dir))
 
 
-@pytest.mark.parametrize("key", ["flights_window_top3", "sink_save_as_table"])
+@pytest.mark.parametrize("key", ["flights_window_top3", "sink_save_as_table", "cat_external_table"])
 def test_a_query_alone_joins_its_legs_in_as_many_partitions_as_their_rows_fill(key, spark, sf_dir, tmp_path, monkeypatch, no_broadcast):
     from sparkwell import session, views
 
